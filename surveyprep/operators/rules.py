@@ -105,3 +105,18 @@ def apply_rules(df: DataFrame, rules: Iterable[Rule]) -> DataFrame:
 
 def count_stages(rules: Iterable[Rule]) -> int:
     return len(plan_stages(rules))
+
+
+def when(cond_fn, targets, value, name: str = "") -> Rule:
+    """Rule whose condition is built by ``cond_fn(c)``; every ``c("name")`` call
+    is recorded as a read, so the staging needs no hand-kept read list."""
+    names: list[str] = []
+
+    def c(n: str) -> Column:
+        names.append(n)
+        return F.col(n)
+
+    cond = cond_fn(c) if cond_fn is not None else None
+    if isinstance(value, Column):
+        raise TypeError("use rule(..., reads=...) for column values")
+    return rule(cond, targets, value, reads=names, name=name)
