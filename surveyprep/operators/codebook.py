@@ -115,9 +115,38 @@ def load_codebook(dataset: str) -> Codebook:
     return Codebook.from_spec(load_spec(dataset)["codebook"])
 
 
+def sql_literal(v) -> str:
+    """SQL text of a literal (strings escaped for the Spark SQL parser)."""
+    if v is None:
+        return "NULL"
+    if isinstance(v, str):
+        return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return repr(v)
+
+
+def map_sql(name: str, fmap: FieldMap) -> str:
+    """MAP1/MAP2 as SQL text: one literal map (constant-folded) and a lookup."""
+    kt = fmap.key_type.upper()
+    col = f"`{name}`"
+    if fmap.codes:
+        pairs = ", ".join(f"CAST({sql_literal(k)} AS {kt}), {sql_literal(v)}" for k, v in fmap.codes)
+        looked = f"try_element_at(map({pairs}), CAST({col} AS {kt}))"
+    else:
+        looked = "CAST(NULL AS STRING)"
+    if fmap.has_null_label:
+        return f"CASE WHEN {col} IS NULL THEN {sql_literal(fmap.null_label)} ELSE {looked} END"
+    return looked
+
+
 def map_expr(c, fmap: FieldMap) -> Column:
-    """MAP1/MAP2 as a column expression (literal map lookup)."""
-    col = F.col(c) if isinstance(c, str) else c
+    """MAP1/MAP2 as a column expression (literal map lookup).
+
+    A column *name* is compiled from SQL text in a single call; a Column
+    is composed with the DataFrame API.
+    """
+    if isinstance(c, str):
+        return F.expr(map_sql(c, fmap))
+    col = c
     key = col.cast(fmap.key_type)
     flat = []
     for code, lab in fmap.codes:

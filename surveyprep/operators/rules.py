@@ -79,8 +79,12 @@ def _value(v) -> Column:
     return v if isinstance(v, Column) else F.lit(v)
 
 
-def stage_exprs(stage: Stage, columns: Iterable[str]) -> dict:
+def stage_exprs(stage: Stage, columns: Iterable[str], cond_cols: dict | None = None) -> dict:
+    """One CASE per target; ``cond_cols`` maps a condition's text to a
+    precomputed boolean column so a condition shared by many targets is
+    evaluated (and code-generated) once."""
     present = set(columns)
+    cond_cols = cond_cols or {}
     out = {}
     for target, branches in stage.branches.items():
         fallback = F.col(target) if target in present else F.lit(None).cast("string")
@@ -91,13 +95,19 @@ def stage_exprs(stage: Stage, columns: Iterable[str]) -> dict:
             if cond is None:
                 fallback = _value(v)
                 break
-            expr = F.when(cond, _value(v)) if expr is None else expr.when(cond, _value(v))
+            c = F.col(cond_cols[str(cond)]) if str(cond) in cond_cols else cond
+            expr = F.when(c, _value(v)) if expr is None else expr.when(c, _value(v))
         out[target] = expr.otherwise(fallback) if expr is not None else fallback
     return out
 
 
 def apply_rules(df: DataFrame, rules: Iterable[Rule]) -> DataFrame:
-    """Apply the ordered rule list, one projection per stage."""
+    """Apply the ordered rule list, one projection per stage.
+
+    A condition shared by many targets appears in each target's CASE;
+    subexpression elimination evaluates it once per row, and no extra
+    projection of the wide row is materialised for it.
+    """
     for st in plan_stages(rules):
         df = df.withColumns(stage_exprs(st, df.columns))
     return df

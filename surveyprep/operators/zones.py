@@ -12,9 +12,16 @@
 6. The lookup is left-joined back on the coordinate pair; null or
    non-finite coordinates never match and keep a null zone.
 
-The zone side is broadcast only when its vertex count, counted with one
-aggregate, is under ``broadcast_vertices``; otherwise both sides shuffle on
-the cell id (AQE splits a hot cell).
+Two physical forms, chosen by the zones' vertex count (one aggregate):
+
+* **broadcast index** (zones small enough): the zone cells are grouped
+  into one candidate array per grid cell (bounded by the number of zones
+  overlapping a cell, not by the data), broadcast, and every point row
+  finds its cell with a hash probe; the refine is a ``filter`` over the
+  candidates and the lowest id an ``array_min``. One output row per input
+  row, no shuffle of the point side, so hot coordinates cost nothing.
+* **shuffle join** (zones too large to broadcast): the steps above, with
+  both sides hash-partitioned on the cell id (AQE splits a hot cell).
 """
 
 from __future__ import annotations
@@ -112,3 +119,57 @@ def zone_lookup(df: DataFrame, x: str, y: str, zones: DataFrame, out: str,
     found = lookup_pairs(pairs, x, y, zones, id_col, wkt_col, cell, eps, broadcast)
     joined = df.join(found, (F.col(x).cast("double") == F.col("__x")) & (F.col(y).cast("double") == F.col("__y")), "left")
     return joined.withColumn(out, F.col("__zone").cast(zone_type)).drop("__x", "__y", "__zone")
+
+
+def zone_stats(zones: DataFrame, wkt_col: str) -> tuple[float, int]:
+    """(median bbox side, total vertex count) of the zones in one aggregate."""
+    pts = F.flatten(wkt_rings(F.col(wkt_col)))
+    xs, ys = F.transform(pts, lambda p: p["x"]), F.transform(pts, lambda p: p["y"])
+    side = F.greatest(F.array_max(xs) - F.array_min(xs), F.array_max(ys) - F.array_min(ys))
+    r = zones.select(F.percentile_approx(side, 0.5).alias("m"), F.sum(F.size(pts)).alias("n")).first()
+    m = float(r["m"]) if r["m"] else 0.0
+    return (m if m > 0 else 1.0), int(r["n"] or 0)
+
+
+def zone_index(zones: DataFrame, id_col: str = "zone_id", wkt_col: str = "wkt", cell: float | None = None):
+    """(index, cell, broadcastable): candidate zones per grid cell, sorted by id."""
+    auto_cell, n_vertices = zone_stats(zones, wkt_col)
+    cell = cell or auto_cell
+    small = n_vertices <= BROADCAST_VERTICES
+    cells = zone_cells(zones, id_col, wkt_col, cell)
+    idx = cells.groupBy("cx", "cy").agg(F.array_sort(F.collect_list(
+        F.struct("zone_id", "minx", "maxx", "miny", "maxy", "rings"))).alias("cands"))
+    return idx, cell, small
+
+
+def _lowest_cover(cands: Column, x: Column, y: Column, eps: float) -> Column:
+    hit = F.filter(cands, lambda z: (x >= z["minx"]) & (x <= z["maxx"]) & (y >= z["miny"]) & (y <= z["maxy"])
+                   & _covers(z["rings"], x, y, eps))
+    return F.array_min(F.transform(hit, lambda z: z["zone_id"]))
+
+
+def attach_zones(df: DataFrame, points: list, zones: DataFrame, id_col: str = "zone_id", wkt_col: str = "wkt",
+                 cell: float | None = None, zone_type: str = "short", eps: float = 1e-9) -> DataFrame:
+    """Attach the lowest containing zone for each ``(x, y, out)`` in ``points``.
+
+    Broadcast-index form when the zones are small enough (no shuffle of
+    ``df``); otherwise one shuffle-join lookup over the distinct pairs.
+    """
+    idx, cell, small = zone_index(zones, id_col, wkt_col, cell)
+    if not small:
+        out = df
+        for x, y, name in points:
+            out = zone_lookup(out, x, y, zones, name, id_col, wkt_col, cell, zone_type, eps, broadcast=False)
+        return out
+    c = F.lit(float(cell))
+    out = df
+    for i, (x, y, name) in enumerate(points):
+        ok = finite(x) & finite(y)
+        xc, yc = F.col(x).cast("double"), F.col(y).cast("double")
+        out = out.withColumns({f"__cx{i}": F.when(ok, F.floor(xc / c)), f"__cy{i}": F.when(ok, F.floor(yc / c))})
+        ix = F.broadcast(idx.select(F.col("cx").alias(f"__cx{i}"), F.col("cy").alias(f"__cy{i}"),
+                                    F.col("cands").alias(f"__cands{i}")))
+        out = out.join(ix, [f"__cx{i}", f"__cy{i}"], "left")
+        out = out.withColumn(name, _lowest_cover(F.col(f"__cands{i}"), xc, yc, eps).cast(zone_type)) \
+                 .drop(f"__cx{i}", f"__cy{i}", f"__cands{i}")
+    return out

@@ -20,14 +20,15 @@ from pyspark.sql import functions as F
 from surveyprep.functions.geo import point_wkt, project_xy
 from surveyprep.operators.codebook import Codebook, apply_codebook, load_spec
 from surveyprep.operators.contract import conform, contract_for, dq_summary
-from surveyprep.operators.keys import add_sentinel, dense_key, row_key
+from surveyprep.operators.keys import add_sentinel, dense_key, natural_key, row_key
 from surveyprep.operators.paths import path_lines
 from surveyprep.operators.reshape import drop_all_null, fill_missing, merge_alternates, wide_to_long
 from surveyprep.operators.rules import apply_rules
 from surveyprep.operators.weights import person_trip_weight, trip_weight
-from surveyprep.operators.zones import lookup_pairs
+from surveyprep.operators.zones import attach_zones
 from surveyprep.plans import survey_rules as R
 from surveyprep.plans.raw_inputs import raw_sources, survey_zones
+from surveyprep.session import widen
 from surveyprep.sources.readers import add_defaults, union_sources
 
 NA = "Not Applicable"
@@ -83,27 +84,23 @@ def _string_targets(rules) -> set:
 def add_points(df: DataFrame, points: list, zones: DataFrame | None, cell: float | None = None) -> DataFrame:
     """Point WKT for every (lng, lat) pair and, with zones, the lowest containing zone.
 
-    All point columns share one zone lookup over the union of their
-    distinct projected pairs (one grid join), then each is attached by a
-    left join on its pair.
+    The zone index is built once and probed by every point column (a
+    broadcast hash join per column when the zones are small enough; see
+    ``attach_zones``), so the wide frame is never shuffled for it.
     """
     out = df
-    xy = {}
-    for lng, lat, shape, _ in points:
+    xy = []
+    for lng, lat, shape, zone in points:
         x, y = project_xy(lng, lat)
-        xy[shape] = (f"__{shape}_x", f"__{shape}_y")
-        out = out.withColumns({shape: point_wkt(lng, lat), xy[shape][0]: x, xy[shape][1]: y})
-    zoned = [(s, z) for _, _, s, z in points if z]
-    if zones is None or not zoned:
-        return out.drop(*[c for pair in xy.values() for c in pair])
-    pairs = union_sources([out.select(F.col(xy[s][0]).alias("x"), F.col(xy[s][1]).alias("y")) for s, _ in zoned])
-    pairs = pairs.where(F.col("x").isNotNull() & F.col("y").isNotNull() & ~F.isnan("x") & ~F.isnan("y")).distinct()
-    found = lookup_pairs(pairs, "x", "y", zones, "mgra_13", "wkt", cell=cell)
-    for s, z in zoned:
-        fx, fy = xy[s]
-        f = found.select(F.col("__x").alias(fx), F.col("__y").alias(fy), F.col("__zone").cast("short").alias(z))
-        out = out.join(f, [fx, fy], "left")
-    return out.drop(*[c for pair in xy.values() for c in pair])
+        cols = {shape: point_wkt(lng, lat)}
+        if zone:
+            cols.update({f"__{shape}_x": x, f"__{shape}_y": y})
+            xy.append((f"__{shape}_x", f"__{shape}_y", zone))
+        out = out.withColumns(cols)
+    if zones is None or not xy:
+        return out.drop(*[c for x, y, _ in xy for c in (x, y)])
+    out = attach_zones(out, xy, zones, "mgra_13", "wkt", cell=cell)
+    return out.drop(*[c for x, y, _ in xy for c in (x, y)])
 
 
 def build_dataset(name: str, sources: dict, zones: DataFrame | None = None, compat: bool = False,
@@ -117,7 +114,7 @@ def build_dataset(name: str, sources: dict, zones: DataFrame | None = None, comp
         frames.append(sources["main"])
     if "at" in sources:
         frames.append(add_defaults(sources["at"], plan.at_constants, plan.at_copies))
-    df = union_sources(frames)
+    df = widen(union_sources(frames))
 
     if name == "border_trips":
         df = wide_to_long(df, BORDER_STUBS, "hhid", "trip_id", range(1, 5))
@@ -126,12 +123,16 @@ def build_dataset(name: str, sources: dict, zones: DataFrame | None = None, comp
         df = df.withColumns({"weight_person_trip": person_trip_weight("h_complete_weekdays"),
                              "weight_trip": trip_weight("h_complete_weekdays", "travelers_hh")})
 
+    if plan.points:
+        df = add_points(df, plan.points, zones)
+
     df = apply_codebook(df, cb)
 
     if name == "border_trips":
         df = drop_all_null(df, BORDER_STUBS)
         df = fill_missing(df, "Missing", BORDER_STUBS)
-        df = row_key(df, ["hhid", "trip_id"], "border_trip_id", start=0, method=key_method)
+        df = natural_key(df, ["hhid", "trip_id"], "border_trip_id", start=0) if key_method == "ranged" \
+            else row_key(df, ["hhid", "trip_id"], "border_trip_id", start=0, method=key_method)
     if name == "intercept":
         df = df.withColumns({"visit_work": merge_alternates("work_int_1_1", "work_int_1_2"),
                              "visit_school": merge_alternates("school_int_1_1", "school_int_1_2")})
@@ -145,12 +146,10 @@ def build_dataset(name: str, sources: dict, zones: DataFrame | None = None, comp
     if name == "trips":
         df = df.withColumns({c: F.regexp_replace(c, r"\|", "") for c in ("origin_address", "destination_address")})
     if name == "day":
-        df = row_key(df, ["personid", "traveldate"], "day_id", start=0, method=key_method)
+        df = natural_key(df, ["personid", "traveldate"], "day_id", start=0) if key_method == "ranged" \
+            else row_key(df, ["personid", "traveldate"], "day_id", start=0, method=key_method)
     if name == "vehicles":
         df = dense_key(df, ["hhid", "vehnum"], "vehicle_id", method=key_method)
-    if plan.points:
-        df = add_points(df, plan.points, zones)
-
     df = df.withColumnsRenamed({k: v for k, v in spec["rename"].items() if k != v and k in df.columns})
     return df.select(*spec["output"])
 

@@ -12,27 +12,26 @@ table's own time column). Everything is one projection over the scan.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from surveyprep.operators.codebook import Codebook, load_spec
-from surveyprep.plans.tables import ev_lat, ev_lng, ev_trip, table
+from surveyprep.operators.codebook import Codebook, load_spec, sql_literal
+from surveyprep.plans.tables import EV_LAT_SQL, EV_LNG_SQL, EV_TRIP_SQL, table
 
 UNLISTED_CODE = 555
 
 
-def _h(seed: Column, name: str) -> Column:
-    return F.abs(F.xxhash64(seed, F.lit(name)))
+def _h(seed: str, name: str) -> str:
+    return f"abs(xxhash64({seed}, '{name}'))"
 
 
-def _coded(seed: Column, name: str, fmap) -> Column:
-    codes = [c for c, _ in fmap.codes]
+def _coded(seed: str, name: str, fmap) -> str:
     text = fmap.key_type == "string"
-    choices = [F.lit(c).cast("string" if text else "int") for c in codes]
-    choices.append(F.lit("not a listed code" if text else UNLISTED_CODE).cast("string" if text else "int"))
-    n = len(choices) + 1  # last slot: null
-    pick = (_h(seed, name) % n).cast("int")
-    return F.try_element_at(F.array(*choices), pick + 1)  # last slot: past the end -> null
+    t = "STRING" if text else "INT"
+    choices = [f"CAST({sql_literal(c)} AS {t})" for c, _ in fmap.codes]
+    choices.append(f"CAST({sql_literal('not a listed code' if text else UNLISTED_CODE)} AS {t})")
+    n = len(choices) + 1  # last slot: past the end -> null
+    return f"try_element_at(array({', '.join(choices)}), CAST({_h(seed, name)} % {n} AS INT) + 1)"
 
 
 def _kind(col: str) -> str:
@@ -55,30 +54,27 @@ def _kind(col: str) -> str:
     return "double"
 
 
-def _value(seed: Column, col: str, base_ts: Column) -> Column:
+def _value(seed: str, col: str, base_ts: str) -> str:
     h = _h(seed, col)
     k = _kind(col)
     if k == "lat":
-        v = F.lit(32.55) + F.lit(0.01) * (h % 60).cast("double")
-        return F.when(h % 17 == 0, F.lit(None).cast("double")).otherwise(v)
+        return f"CASE WHEN {h} % 17 = 0 THEN CAST(NULL AS DOUBLE) ELSE 32.55D + 0.01D * CAST({h} % 60 AS DOUBLE) END"
     if k == "lng":
-        v = F.lit(-117.3) + F.lit(0.01) * (h % 50).cast("double")
-        return F.when(h % 19 == 0, F.lit(None).cast("double")).otherwise(v)
+        return f"CASE WHEN {h} % 19 = 0 THEN CAST(NULL AS DOUBLE) ELSE -117.3D + 0.01D * CAST({h} % 50 AS DOUBLE) END"
     if k == "date":
-        return F.to_date(base_ts)
+        return f"to_date({base_ts})"
     if k == "ts":
-        return F.when(h % 23 == 0, F.lit(None)).otherwise(
-            (base_ts + F.make_interval(secs=(h % 86400).cast("int"))).cast("timestamp_ntz"))
+        return (f"CASE WHEN {h} % 23 = 0 THEN CAST(NULL AS TIMESTAMP_NTZ) "
+                f"ELSE CAST({base_ts} + make_interval(0, 0, 0, 0, 0, 0, CAST({h} % 86400 AS INT)) AS TIMESTAMP_NTZ) END")
     if k == "text":
-        txt = F.concat(F.lit(f"{col} "), (h % 100000).cast("string"),
-                       F.when(h % 10 == 0, F.lit(" | unit 2")).otherwise(F.lit("")))
-        return F.when(h % 7 == 0, F.lit(None).cast("string")).otherwise(txt)
+        return (f"CASE WHEN {h} % 7 = 0 THEN CAST(NULL AS STRING) ELSE concat('{col} ', CAST({h} % 100000 AS STRING), "
+                f"CASE WHEN {h} % 10 = 0 THEN ' | unit 2' ELSE '' END) END")
     if k == "int":
-        return F.when(h % 11 == 0, F.lit(None).cast("int")).otherwise((h % 4).cast("int"))
-    return F.when(h % 13 == 0, F.lit(None).cast("double")).otherwise((h % 100000).cast("double") / F.lit(100.0))
+        return f"CASE WHEN {h} % 11 = 0 THEN CAST(NULL AS INT) ELSE CAST({h} % 4 AS INT) END"
+    return f"CASE WHEN {h} % 13 = 0 THEN CAST(NULL AS DOUBLE) ELSE CAST({h} % 100000 AS DOUBLE) / 100.0D END"
 
 
-def _frame(base: DataFrame, seed: Column, base_ts: Column, columns: list[str], fixed: dict, cb: Codebook) -> DataFrame:
+def _frame(base: DataFrame, seed: str, base_ts: str, columns: list[str], fixed: dict, cb: Codebook) -> DataFrame:
     exprs = []
     for c in columns:
         if c in fixed:
@@ -87,8 +83,8 @@ def _frame(base: DataFrame, seed: Column, base_ts: Column, columns: list[str], f
             e = _coded(seed, c, cb[c])
         else:
             e = _value(seed, c, base_ts)
-        exprs.append(e.alias(c))
-    return base.select(*exprs)
+        exprs.append(f"{e} AS `{c}`")
+    return base.selectExpr(*exprs)
 
 
 def _border_codebook(cb: Codebook) -> Codebook:
@@ -109,44 +105,42 @@ def raw_sources(spark: SparkSession, sf_dir: str, dataset: str) -> dict:
 
     if dataset in ("households", "persons", "day", "border_trips"):
         o = table(spark, sf_dir, "orders")
-        seed, ts = F.col("o_orderkey"), F.col("o_orderdate")
-        fixed = {"hhid": F.col("o_orderkey").cast("int")}
+        seed, ts = "o_orderkey", "o_orderdate"
+        fixed = {"hhid": "CAST(o_orderkey AS INT)"}
         if dataset in ("persons", "day"):
-            fixed["personid"] = (F.col("o_orderkey") * 100 + 1).cast("bigint")
-            fixed["pernum"] = F.lit(1)
+            fixed["personid"] = "CAST(o_orderkey * 100 + 1 AS BIGINT)"
+            fixed["pernum"] = "1"
         if dataset == "day":
-            fixed["traveldate"] = F.to_date("o_orderdate")
-            fixed["daynum"] = (F.col("o_orderkey") % 7 + 1).cast("int")
+            fixed["traveldate"] = "to_date(o_orderdate)"
+            fixed["daynum"] = "CAST(o_orderkey % 7 + 1 AS INT)"
         split = F.col("o_orderstatus") == "P"
         parts = {"main": o.where(~split), "at": o.where(split)}
     elif dataset == "vehicles":
         li = table(spark, sf_dir, "lineitem")
-        seed = F.col("l_orderkey") * 10 + F.col("l_linenumber")
-        ts = F.col("l_shipdate")
-        fixed = {"hhid": F.col("l_orderkey").cast("int"), "vehnum": F.col("l_linenumber")}
+        seed, ts = "l_orderkey * 10 + l_linenumber", "l_shipdate"
+        fixed = {"hhid": "CAST(l_orderkey AS INT)", "vehnum": "l_linenumber"}
         split = F.col("l_returnflag") == "R"
         parts = {"main": li.where(~split), "at": li.where(split)}
     elif dataset == "intercept":
         cu = table(spark, sf_dir, "customer")
-        seed, ts = F.col("c_custkey"), F.make_timestamp_ntz(F.lit(2017), F.lit(4), (F.col("c_custkey") % 28 + 1).cast("int"),
-                                                             F.lit(8), F.lit(0), F.lit(0))
-        fixed = {"hhid": F.col("c_custkey").cast("int")}
+        seed = "c_custkey"
+        ts = "make_timestamp_ntz(2017, 4, CAST(c_custkey % 28 + 1 AS INT), 8, 0, 0)"
+        fixed = {"hhid": "CAST(c_custkey AS INT)"}
         parts = {"at": cu}
     elif dataset in ("trips", "location"):
         ev = table(spark, sf_dir, "events")
-        seed, ts = F.col("event_id"), F.col("ts")
+        seed, ts = "event_id", "ts"
         if dataset == "trips":
-            fixed = {"tripid": F.col("event_id"), "tripid_linked": F.col("event_id"),
-                     "location_tripid": ev_trip(), "personid": (F.col("user_id") * 100 + 1).cast("bigint"),
-                     "hhid": F.col("user_id").cast("int"), "traveldate": F.to_date("ts"),
-                     "daynum": F.dayofmonth("ts"), "departure_time": F.col("ts"),
-                     "arrival_time": (F.col("ts") + F.expr("INTERVAL 20 MINUTES")).cast("timestamp_ntz"),
-                     "h_complete_weekdays": F.when(F.col("event_id") % 9 == 0, F.lit(None).cast("int"))
-                                             .otherwise((F.col("event_id") % 3).cast("int"))}
+            fixed = {"tripid": "event_id", "tripid_linked": "event_id", "location_tripid": EV_TRIP_SQL,
+                     "personid": "CAST(user_id * 100 + 1 AS BIGINT)", "hhid": "CAST(user_id AS INT)",
+                     "traveldate": "to_date(ts)", "daynum": "day(ts)", "departure_time": "ts",
+                     "arrival_time": "CAST(ts + INTERVAL 20 MINUTES AS TIMESTAMP_NTZ)",
+                     "h_complete_weekdays": "CASE WHEN event_id % 9 = 0 THEN CAST(NULL AS INT) "
+                                            "ELSE CAST(event_id % 3 AS INT) END"}
         else:
-            fixed = {"tripid": ev_trip(), "collected_at": F.col("ts"), "accuracy": F.col("value"),
-                     "heading": (F.col("event_id") % 360).cast("double"), "speed": F.col("value") / F.lit(3.0),
-                     "lat": ev_lat(), "lng": ev_lng()}
+            fixed = {"tripid": EV_TRIP_SQL, "collected_at": "ts", "accuracy": "value",
+                     "heading": "CAST(event_id % 360 AS DOUBLE)", "speed": "value / 3.0D",
+                     "lat": EV_LAT_SQL, "lng": EV_LNG_SQL}
         split = F.col("event_type") == "error"
         parts = {"main": ev.where(~split), "at": ev.where(split)}
     else:

@@ -28,6 +28,9 @@ def get_spark(master: str | None = None, app: str = "surveyprep",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # generated methods larger than the JIT's 8000-byte limit run
+        # interpreted; fall back to per-operator code for those stages
+        "spark.sql.codegen.hugeMethodLimit": "8000",
     }
     if shuffle_partitions:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
@@ -65,3 +68,30 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     """
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/surveyprep-stage/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def widen(df, min_partitions: int | None = None):
+    """Round-robin repartition only when ``df`` has fewer partitions than the
+    session's default parallelism (small inputs feeding wide CPU-bound
+    projections). Large inputs already arrive in many splits and pass
+    through untouched, so no shuffle is added at scale."""
+    spark = df.sparkSession
+    target = min_partitions or spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
+
+
+RUNTIME_CONF = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+}
+
+
+def apply_runtime_conf(spark) -> None:
+    """Session settings the library relies on that can be changed at run time."""
+    for k, v in RUNTIME_CONF.items():
+        try:
+            spark.conf.set(k, v)
+        except Exception:  # noqa: BLE001 - some deployments pin confs
+            pass
