@@ -113,10 +113,17 @@ def lookup_pairs(pairs: DataFrame, x: str, y: str, zones: DataFrame, id_col: str
 def zone_lookup(df: DataFrame, x: str, y: str, zones: DataFrame, out: str,
                 id_col: str = "zone_id", wkt_col: str = "wkt", cell: float | None = None,
                 zone_type: str = "short", eps: float = 1e-9, broadcast: bool | None = None) -> DataFrame:
-    """Attach the lowest containing zone id of point (x, y) as ``out`` (JON1-4)."""
+    """Attach the lowest containing zone id of point (x, y) as ``out`` (JON1-4).
+
+    ``broadcast=None`` picks the broadcast-index form when the zones are
+    small enough; ``False`` forces the shuffle join over distinct pairs.
+    """
+    if broadcast is not False:
+        return attach_zones(df, [(x, y, out)], zones, id_col, wkt_col, cell, zone_type, eps,
+                            force_shuffle=False)
     valid = finite(x) & finite(y)
     pairs = df.where(valid).select(F.col(x).cast("double").alias(x), F.col(y).cast("double").alias(y)).distinct()
-    found = lookup_pairs(pairs, x, y, zones, id_col, wkt_col, cell, eps, broadcast)
+    found = lookup_pairs(pairs, x, y, zones, id_col, wkt_col, cell, eps, broadcast=False)
     joined = df.join(found, (F.col(x).cast("double") == F.col("__x")) & (F.col(y).cast("double") == F.col("__y")), "left")
     return joined.withColumn(out, F.col("__zone").cast(zone_type)).drop("__x", "__y", "__zone")
 
@@ -149,14 +156,15 @@ def _lowest_cover(cands: Column, x: Column, y: Column, eps: float) -> Column:
 
 
 def attach_zones(df: DataFrame, points: list, zones: DataFrame, id_col: str = "zone_id", wkt_col: str = "wkt",
-                 cell: float | None = None, zone_type: str = "short", eps: float = 1e-9) -> DataFrame:
+                 cell: float | None = None, zone_type: str = "short", eps: float = 1e-9,
+                 force_shuffle: bool = False) -> DataFrame:
     """Attach the lowest containing zone for each ``(x, y, out)`` in ``points``.
 
     Broadcast-index form when the zones are small enough (no shuffle of
     ``df``); otherwise one shuffle-join lookup over the distinct pairs.
     """
     idx, cell, small = zone_index(zones, id_col, wkt_col, cell)
-    if not small:
+    if force_shuffle or not small:
         out = df
         for x, y, name in points:
             out = zone_lookup(out, x, y, zones, name, id_col, wkt_col, cell, zone_type, eps, broadcast=False)

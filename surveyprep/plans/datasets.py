@@ -98,6 +98,8 @@ def add_points(df: DataFrame, points: list, zones: DataFrame | None, cell: float
             xy.append((f"__{shape}_x", f"__{shape}_y", zone))
         out = out.withColumns(cols)
     if zones is None or not xy:
+        # no zone layer given: the zone columns exist but stay null
+        out = out.withColumns({z: F.lit(None).cast("short") for _, _, z in xy})
         return out.drop(*[c for x, y, _ in xy for c in (x, y)])
     out = attach_zones(out, xy, zones, "mgra_13", "wkt", cell=cell)
     return out.drop(*[c for x, y, _ in xy for c in (x, y)])
