@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from surveyprep.functions.geo import finite, wkt_rings
+from surveyprep.session import widen
 
 # Broadcast the zone cells only below this many vertices in total
 # (~16 bytes per vertex plus per-cell copies).
@@ -170,7 +171,8 @@ def attach_zones(df: DataFrame, points: list, zones: DataFrame, id_col: str = "z
             out = zone_lookup(out, x, y, zones, name, id_col, wkt_col, cell, zone_type, eps, broadcast=False)
         return out
     c = F.lit(float(cell))
-    out = df
+    # the exact refine is CPU-bound per row: spread a small input over the cores
+    out = widen(df)
     for i, (x, y, name) in enumerate(points):
         ok = finite(x) & finite(y)
         xc, yc = F.col(x).cast("double"), F.col(y).cast("double")
