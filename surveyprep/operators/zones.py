@@ -48,32 +48,36 @@ def zone_cells(zones: DataFrame, id_col: str, wkt_col: str, cell: float) -> Data
         "maxy": F.array_max(F.transform(pts, lambda p: p["y"])),
     })
     c = F.lit(float(cell))
+    z = z.withColumn("rings", ring_segments(F.col("rings")))
     return (z.withColumn("cx", F.explode(F.sequence(F.floor(F.col("minx") / c), F.floor(F.col("maxx") / c))))
              .withColumn("cy", F.explode(F.sequence(F.floor(F.col("miny") / c), F.floor(F.col("maxy") / c))))
              .select("cx", "cy", "zone_id", "rings", "minx", "maxx", "miny", "maxy"))
 
 
-def _covers(rings: Column, x: Column, y: Column, eps: float) -> Column:
-    """Boundary-inclusive even-odd point-in-polygon over all rings."""
-    def seg_flags(r):
-        idx = F.sequence(F.lit(1), F.size(r) - 1)
+def ring_segments(rings: Column) -> Column:
+    """Flat array<struct<ax, ay, bx, by>> of every ring edge, built once per zone."""
+    def segs(r):
+        return F.transform(F.sequence(F.lit(1), F.size(r) - 1), lambda i: F.struct(
+            F.element_at(r, i)["x"].alias("ax"), F.element_at(r, i)["y"].alias("ay"),
+            F.element_at(r, i + 1)["x"].alias("bx"), F.element_at(r, i + 1)["y"].alias("by")))
+    return F.flatten(F.transform(rings, segs))
 
-        def flag(i):
-            a = F.element_at(r, i)
-            b = F.element_at(r, i + 1)
-            ax, ay, bx, by = a["x"], a["y"], b["x"], b["y"]
-            cross = (bx - ax) * (y - ay) - (by - ay) * (x - ax)
-            on_edge = ((F.abs(cross) <= F.lit(eps) * (F.abs(bx - ax) + F.abs(by - ay) + F.lit(1.0)))
-                       & (x >= F.least(ax, bx) - eps) & (x <= F.greatest(ax, bx) + eps)
-                       & (y >= F.least(ay, by) - eps) & (y <= F.greatest(ay, by) + eps))
-            crosses = ((ay > y) != (by > y)) & (x < (bx - ax) * (y - ay) / (by - ay) + ax)
-            return F.struct(on_edge.alias("e"), crosses.alias("c"))
-        return F.transform(idx, flag)
 
-    flags = F.flatten(F.transform(rings, seg_flags))
-    on_edge = F.exists(flags, lambda s: s["e"])
-    n_cross = F.size(F.filter(flags, lambda s: s["c"]))
-    return on_edge | (n_cross % 2 == 1)
+def _covers(segs: Column, x: Column, y: Column, eps: float) -> Column:
+    """Boundary-inclusive even-odd point-in-polygon over precomputed edges
+    (all rings of the zone; holes and parts need no special case)."""
+    def on_edge(s):
+        ax, ay, bx, by = s["ax"], s["ay"], s["bx"], s["by"]
+        cross = (bx - ax) * (y - ay) - (by - ay) * (x - ax)
+        return ((F.abs(cross) <= F.lit(eps) * (F.abs(bx - ax) + F.abs(by - ay) + F.lit(1.0)))
+                & (x >= F.least(ax, bx) - eps) & (x <= F.greatest(ax, bx) + eps)
+                & (y >= F.least(ay, by) - eps) & (y <= F.greatest(ay, by) + eps))
+
+    def crosses(s):
+        ax, ay, bx, by = s["ax"], s["ay"], s["bx"], s["by"]
+        return ((ay > y) != (by > y)) & (x < (bx - ax) * (y - ay) / (by - ay) + ax)
+
+    return F.exists(segs, on_edge) | (F.size(F.filter(segs, crosses)) % 2 == 1)
 
 
 def auto_cell_size(zones: DataFrame, wkt_col: str) -> float:
@@ -121,7 +125,7 @@ def zone_lookup(df: DataFrame, x: str, y: str, zones: DataFrame, out: str,
     """
     if broadcast is not False:
         return attach_zones(df, [(x, y, out)], zones, id_col, wkt_col, cell, zone_type, eps,
-                            force_shuffle=False)
+                            force_shuffle=False, widen_input=True)
     valid = finite(x) & finite(y)
     pairs = df.where(valid).select(F.col(x).cast("double").alias(x), F.col(y).cast("double").alias(y)).distinct()
     found = lookup_pairs(pairs, x, y, zones, id_col, wkt_col, cell, eps, broadcast=False)
@@ -158,11 +162,14 @@ def _lowest_cover(cands: Column, x: Column, y: Column, eps: float) -> Column:
 
 def attach_zones(df: DataFrame, points: list, zones: DataFrame, id_col: str = "zone_id", wkt_col: str = "wkt",
                  cell: float | None = None, zone_type: str = "short", eps: float = 1e-9,
-                 force_shuffle: bool = False) -> DataFrame:
+                 force_shuffle: bool = False, widen_input: bool = False) -> DataFrame:
     """Attach the lowest containing zone for each ``(x, y, out)`` in ``points``.
 
     Broadcast-index form when the zones are small enough (no shuffle of
-    ``df``); otherwise one shuffle-join lookup over the distinct pairs.
+    ``df``): one projection computes every point's cell, one broadcast hash
+    probe per point column fetches the cell's candidates, one projection
+    refines them all. Otherwise one shuffle-join lookup over the distinct
+    pairs per point column.
     """
     idx, cell, small = zone_index(zones, id_col, wkt_col, cell)
     if force_shuffle or not small:
@@ -172,14 +179,20 @@ def attach_zones(df: DataFrame, points: list, zones: DataFrame, id_col: str = "z
         return out
     c = F.lit(float(cell))
     # the exact refine is CPU-bound per row: spread a small input over the cores
-    out = widen(df)
-    for i, (x, y, name) in enumerate(points):
+    out = widen(df) if widen_input else df
+    cells = {}
+    for i, (x, y, _) in enumerate(points):
         ok = finite(x) & finite(y)
         xc, yc = F.col(x).cast("double"), F.col(y).cast("double")
-        out = out.withColumns({f"__cx{i}": F.when(ok, F.floor(xc / c)), f"__cy{i}": F.when(ok, F.floor(yc / c))})
+        cells[f"__cx{i}"] = F.when(ok, F.floor(xc / c))
+        cells[f"__cy{i}"] = F.when(ok, F.floor(yc / c))
+    out = out.withColumns(cells)
+    for i in range(len(points)):
         ix = F.broadcast(idx.select(F.col("cx").alias(f"__cx{i}"), F.col("cy").alias(f"__cy{i}"),
                                     F.col("cands").alias(f"__cands{i}")))
         out = out.join(ix, [f"__cx{i}", f"__cy{i}"], "left")
-        out = out.withColumn(name, _lowest_cover(F.col(f"__cands{i}"), xc, yc, eps).cast(zone_type)) \
-                 .drop(f"__cx{i}", f"__cy{i}", f"__cands{i}")
-    return out
+    zones_cols = {name: _lowest_cover(F.col(f"__cands{i}"), F.col(x).cast("double"), F.col(y).cast("double"),
+                                      eps).cast(zone_type)
+                  for i, (x, y, name) in enumerate(points)}
+    temp = [f"__{k}{i}" for i in range(len(points)) for k in ("cx", "cy", "cands")]
+    return out.withColumns(zones_cols).drop(*temp)

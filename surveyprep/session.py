@@ -77,7 +77,7 @@ def widen(df, min_partitions: int | None = None):
     through untouched, so no shuffle is added at scale."""
     spark = df.sparkSession
     target = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
+    if df._jdf.rdd().getNumPartitions() < target:
         return df.repartition(target)
     return df
 
