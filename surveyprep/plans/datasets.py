@@ -212,3 +212,40 @@ QUERIES = {f"build_{n}": _builder(n) for n in ("vehicles", "day", "households",
 QUERIES["build_location_points"] = _location("points")
 QUERIES["build_location_lines"] = _location("lines")
 QUERIES["load_vehicles"] = _vehicles_loaded
+
+
+def dataset_categories(name: str) -> dict:
+    """Output column -> category order for every coded field of a dataset.
+
+    Codebook labels in order, then the added "Missing" / "Not Applicable"
+    categories the recodes may assign (as the survey program adds them).
+    """
+    spec = load_spec(name)
+    cb = Codebook.from_spec(spec["codebook"])
+    out = {}
+    for f in cb:
+        col = spec["rename"].get(f, f)
+        if col in spec["output"]:
+            cats = cb[f].categories()
+            out[col] = cats + [lab for lab in ("Missing", NA) if lab not in cats]
+    return out
+
+
+def _profile(name: str, part: str):
+    from surveyprep.operators.profile import profile_freq, profile_n
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        zones = survey_zones(spark, sf_dir) if PLANS[name].points else None
+        df = build_dataset(name, raw_sources(spark, sf_dir, name), zones)
+        cats = dataset_categories(name)
+        if part == "n":
+            return profile_n(df, categorical=list(cats), user_missing=["Missing", NA])
+        return profile_freq(df, cats)
+    run.__name__ = f"profile_{name}_{part}"
+    run.__doc__ = f"AGG1/AGG2 on the built {name} table (frequencies with Missing / Not Applicable as user-missing)."
+    return run
+
+
+QUERIES["profile_households_n"] = _profile("households", "n")
+QUERIES["profile_households_freq"] = _profile("households", "freq")
+QUERIES["profile_trips_freq"] = _profile("trips", "freq")

@@ -61,3 +61,20 @@ def test_vehicles_sentinel_and_location(spark):
     ids = sorted(r[0] for r in pts.select("point_id").collect())
     assert ids == list(range(len(ids)))
     assert loc["lines"].count() == pts.select("trip_id_location").distinct().count()
+
+
+def test_dataset_frequencies(spark):
+    from surveyprep.operators.profile import profile_freq, profile_n
+    from surveyprep.plans.datasets import dataset_categories
+
+    h = build_dataset("households", raw_sources(spark, SF_SMALL, "households"), survey_zones(spark, SF_SMALL)).cache()
+    cats = dataset_categories("households")
+    rows = h.count()
+    n = profile_n(h, categorical=list(cats), user_missing=["Missing", "Not Applicable"]).collect()
+    assert len(n) == len(h.columns) and all(r["n"] + r["missing"] == rows for r in n)
+    freq = profile_freq(h, cats).collect()
+    got = {}
+    for r in freq:
+        got[r["field"]] = got.get(r["field"], 0) + r["count"]
+    for f, labels in cats.items():
+        assert got[f] == h.where(h[f].isin(labels)).count()
