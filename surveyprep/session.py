@@ -76,10 +76,13 @@ def widen(df, min_partitions: int | None = None):
     projections). Large inputs already arrive in many splits and pass
     through untouched, so no shuffle is added at scale."""
     spark = df.sparkSession
-    target = min_partitions or spark.sparkContext.defaultParallelism
-    if df._jdf.rdd().getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    try:
+        target = min_partitions or spark.sparkContext.defaultParallelism
+        if df._jdf.rdd().getNumPartitions() >= target:
+            return df
+    except Exception:  # noqa: BLE001 - no JVM handle (e.g. a remote session): leave as is
+        return df
+    return df.repartition(target)
 
 
 RUNTIME_CONF = {
