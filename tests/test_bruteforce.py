@@ -188,3 +188,75 @@ def test_persons_brute_force(spark):
     got = _rows(build_dataset("persons", src, None))
     cols = [c for c in spec["output"] if not c.endswith("_shape") and not c.endswith("_mgra_13")]
     assert _norm(got, cols) == _norm(out, cols)
+
+
+def test_trips_brute_force(spark):
+    from surveyprep.plans import survey_rules as R
+    src, rows = _union(spark, "trips")
+    spec, cb = load_spec("trips"), load_codebook("trips")
+    transit = ["Vanpool", "Bus"] + R.TRANSIT_MODES_TAIL
+    out = []
+    allcols = set().union(*[set(r) for r in rows]) | set(cb)
+    for r in rows:
+        r = {c: r.get(c) for c in allcols}
+        w, t = r.get("h_complete_weekdays"), r.get("travelers_hh")
+        r["weight_person_trip"] = 1.0 if (w is not None and w >= 1) else None
+        r["weight_trip"] = (1.0 / t if (t is not None and 1 <= t <= 10) else 1.0) if (w is not None and w >= 1) else None
+        for f in cb:
+            r[f] = _label(cb[f], r.get(f))
+        r["revised_count"] = None if r.get("revised_count") is None else str(r["revised_count"])
+
+        def setna(cols, v=NA):
+            for c in ([cols] if isinstance(cols, str) else cols):
+                r[c] = v
+        modes = [r.get("mode1"), r.get("mode2"), r.get("mode3"), r.get("mode4")]
+        for c in R.TRIP_MISSING_COLUMNS:
+            if r.get(c) is None:
+                r[c] = MS
+        if r["data_source"] == "rMove":
+            setna(R.TRIP_ONLINE_ONLY)
+        if r["data_source"] == "Online":
+            setna(R.TRIP_RMOVE_ONLY)
+            r["location_tripid"] = 0
+        if r["o_purpose"] not in ("Other", "Other purpose"):
+            setna("o_purpose_other")
+        if r["d_purpose"] not in ("Other", "Other purpose"):
+            setna("d_purpose_other")
+        if not any(m in transit for m in modes):
+            setna(["transit_access", "transit_egress"])
+        if not any(m in R.AUTO_MODES for m in modes):
+            setna(["toll_no", "toll_express"])
+        if not any(m in R.AUTO_NONTAXI_MODES for m in modes):
+            setna(["driver", "parklocation"])
+        if r["parklocation"] not in R.PARKED_LOCATIONS:
+            setna("parktype")
+        if r["parktype"] not in R.PAID_PARKING:
+            setna("park_cost_dk")
+        if r["parklocation"] != "Park & Ride lot":
+            setna(["parkride_lot", "parkride_city"])
+        if not any(m in R.TAXI_MODES for m in modes):
+            setna("taxitype")
+        if r["taxitype"] not in R.PAID_TAXI:
+            setna("taxi_cost_dk")
+        if "Airplane" not in modes:
+            setna("airtype")
+        if r["airtype"] not in R.PAID_AIR:
+            setna("airfare_cost_dk")
+        if not any(m in R.BUS_MODES for m in modes):
+            setna("bustype")
+        if r["bustype"] != R.CASH_FARE:
+            setna("bus_cost_dk")
+        if not any(m in R.RAIL_MODES for m in modes):
+            setna("railtype")
+        if r["railtype"] != R.CASH_FARE:
+            setna("rail_cost_dk")
+        if "Ferry or water taxi" not in modes:
+            setna("ferrytype")
+        if r["ferrytype"] != R.CASH_FARE:
+            setna("ferry_cost_dk")
+        for c in ("origin_address", "destination_address"):
+            r[c] = r[c].replace("|", "") if r[c] is not None else None
+        out.append({spec["rename"].get(k, k): v for k, v in r.items()})
+    got = _rows(build_dataset("trips", src, None))
+    cols = [c for c in spec["output"] if not c.endswith("_shape") and not c.endswith("_mgra_13")]
+    assert _norm(got, cols) == _norm(out, cols)
