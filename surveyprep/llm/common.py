@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from surveyprep.session import shared_dir
 
@@ -42,6 +43,15 @@ class Scratch:
             p.getFileSystem(conf).delete(p, True)
 
 
+def sized(df: DataFrame, row_bytes: int, limit: int = 32 << 20) -> DataFrame:
+    """``df``, a written table, to be broadcast if its counted rows stay under ``limit`` bytes.
+
+    Beyond that the join shuffles both sides, which Spark may split on skew;
+    the result is the same.
+    """
+    return F.broadcast(df) if df.count() * row_bytes <= limit else df
+
+
 # --- vectorised hashing of byte strings (numpy, 64-bit wrap-around) ---
 
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)

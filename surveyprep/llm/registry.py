@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from surveyprep.llm import mixing
 from surveyprep.llm.common import table
+from surveyprep.llm.dartminhash import near_duplicates
 from surveyprep.llm.decision_list import judge
+from surveyprep.llm.fuzzy_lines import dedup_lines
 from surveyprep.llm.packing import harmonic_pack
 
 
@@ -22,6 +24,10 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return harmonic_pack(table(spark, sf_dir, "documents"), bpe_50k())
 
 
+def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -31,5 +37,16 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "fired")
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op6_mixing, op7_quality_rules)}
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_removed", "text")
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline  # at the repository's top; it imports this subpackage
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+QUERIES = {f.__name__: f for f in (op1_packing, op4_near_duplicates, op6_mixing, op7_quality_rules, op10_line_dedup)}
+QUERIES["pipeline"] = pipeline
 ORACLE = {"op6_mixing": mixing.OP6_SQL}
