@@ -11,7 +11,8 @@ about k ln k + 2k darts, however many shingles it has; if a coordinate got
 none the rank limit doubles.
 
 Equal texts (word sequences) are folded first. Documents that share a band
-are candidates; links are verified on the shingles themselves.
+are candidates; links are verified on the shingles themselves, inside the
+join, so that only links leave it.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -84,9 +85,9 @@ def signatures(units: list[np.ndarray], k: int) -> np.ndarray:
 
 
 def sketch(docs: DataFrame, id_col: str, text_col: str, bands: int, rows: int, width: int) -> DataFrame:
-    """doc_id, word-sequence hash (w1, w2), band hashes, sorted unit hashes (4 bytes each) of every row."""
+    """doc_id, word-sequence hash (w1, w2), band hashes, eight bits of each coordinate, unit hashes (4 bytes each) of every row."""
     schema = T.StructType([T.StructField("doc_id", docs.schema[id_col].dataType), T.StructField("w1", T.LongType()),
-                           T.StructField("w2", T.LongType()), T.StructField("bands", T.ArrayType(T.LongType())), T.StructField("units", T.BinaryType())])
+                           T.StructField("w2", T.LongType()), T.StructField("bands", T.ArrayType(T.LongType())), T.StructField("bits", T.ArrayType(T.LongType())), T.StructField("units", T.ArrayType(T.IntegerType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -94,7 +95,12 @@ def sketch(docs: DataFrame, id_col: str, text_col: str, bands: int, rows: int, w
                 part = batch.slice(at, 256)
                 words = [word_hashes(np.frombuffer((t or "").encode("utf-8", "surrogatepass"), np.uint8)) for t in part.column(1).to_pylist()]
                 units = [unit_seeds(shingle_hashes(w, width)) for w in words]
-                sig = signatures(units, bands * rows).reshape(len(units), bands, rows)
+                sig = signatures(units, bands * rows)
+                low = np.zeros((len(units), -(-bands * rows // 7), 8), np.uint8)
+                spread = np.zeros((len(units), low.shape[1] * 7), np.uint8)
+                spread[:, :bands * rows] = sig >> np.uint64(56)
+                low[:, :, :7] = spread.reshape(len(units), -1, 7)
+                low, sig = low.reshape(len(units), -1).view("<i8"), sig.reshape(len(units), bands, rows)
                 band = np.zeros((len(units), bands), np.uint64)
                 for r in range(rows):
                     band = mix64(band * np.uint64(3) + sig[:, :, r] + np.uint64(1))
@@ -104,28 +110,26 @@ def sketch(docs: DataFrame, id_col: str, text_col: str, bands: int, rows: int, w
                 yield pa.RecordBatch.from_arrays([
                     part.column(0), pa.array(whole[:, 0].view(np.int64).copy()), pa.array(whole[:, 1].view(np.int64).copy()),
                     pa.array([list(b) if len(u) else [] for b, u in zip(band, units)], pa.list_(pa.int64())),
-                    pa.array([np.sort((u >> np.uint64(32)).astype(np.uint32)).tobytes() for u in units], pa.binary())], names=schema.fieldNames())
+                    pa.array(list(low), pa.list_(pa.int64())),
+                    pa.array([(u >> np.uint64(32)).astype(np.uint32).view(np.int32) for u in units], pa.list_(pa.int32()))], names=schema.fieldNames())
 
     return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(run, schema)
 
 
-def similar(pairs: DataFrame, sketches: DataFrame, threshold: float) -> DataFrame:
-    """(a, b, sim, ok): weighted Jaccard similarity of each pair, read from the units of both."""
-    one = sketches.select(F.col("rep").alias("ra"), F.col("units").alias("ua"))
-    two = sketches.select(F.col("rep").alias("rb"), F.col("units").alias("ub"))
-    wide = pairs.join(one, F.col("a") == F.col("ra")).join(two, F.col("b") == F.col("rb"))
+def jaccard(one: str, two: str) -> Column:
+    """Weighted Jaccard similarity of two unit arrays; a shingle's repeats are units of their own."""
+    both = F.size(F.array_intersect(one, two))
+    return both / (F.size(one) + F.size(two) - both)
 
-    @F.pandas_udf("double")
-    def jaccard(x, y):
-        out = np.zeros(len(x))
-        for i, (u, v) in enumerate(zip(x, y)):
-            u, v = np.frombuffer(u, np.uint32), np.frombuffer(v, np.uint32)
-            # multisets: equal values are units of their own, numbered apart by the sketch
-            both = len(np.intersect1d(u, v, assume_unique=True)) if len(u) and len(v) else 0
-            out[i] = both / max(1, len(u) + len(v) - both)
-        return __import__("pandas").Series(out)
 
-    return wide.select("a", "b", jaccard("ua", "ub").alias("sim")).withColumn("ok", F.col("sim") >= threshold)
+def agreement(one: str, two: str, longs: int) -> Column:
+    """In how many coordinates two signatures agree, by their eight bits each, seven coordinates to a long."""
+    def equal_bytes(i: int) -> str:
+        x = f"({one}[{i}] ^ {two}[{i}])"
+        # the high bit of each byte of t is set where the byte of x isn't zero
+        t = f"((({x} & {0x7F7F7F7F7F7F7F}L) + {0x7F7F7F7F7F7F7F}L) | {x})"
+        return f"(7 - bit_count({t} & {0x80808080808080}L))"
+    return F.expr(" + ".join(map(equal_bytes, range(longs))))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8,
@@ -137,17 +141,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     With 25 bands of 5 a pair at 0.8 shares a band with probability 0.99995.
 
     In each band's bucket every text is compared with the smallest one. A
-    text that isn't similar to that one is compared with all others of the
-    bucket that are in another group by then, so no group is missed, and no
-    group's copies are expanded into pairs.
+    text that isn't similar to that one is compared with the bucket's texts
+    that are in another group by then, so no group is missed, and no group's
+    copies are expanded into pairs. n_links counts the links so found.
 
     Null texts and texts without a word are groups of their own and link to
     nothing. Texts of under five words are one shingle. Equal texts, equal
     rows included, form one group. Null ids are groups of their own. An
     empty table gives an empty result. Other columns are not read.
     """
-    spark = docs.sparkSession
-    scratch = Scratch(spark, "dart")
+    scratch, k = Scratch(docs.sparkSession, "dart"), bands * rows
     s = scratch.cut(sketch(docs, id_col, text_col, bands, rows, width), "sketch")
 
     # fold equal texts: counts and minima are formed before the shuffle
@@ -160,25 +163,36 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     member = scratch.cut(rows_.join(heads.withColumnsRenamed({"band": "hb", "key": "hk"}), (F.col("band") == F.col("hb")) & (F.col("key") == F.col("hk")))
                          .select("band", "key", "head", "rep"), "member")
     near = scratch.cut(member.select(F.col("rep").alias("m")).distinct(), "near")
-    units = s.select(F.col("doc_id").alias("rep"), "units").where("length(units) > 0").join(
+    units = s.select(F.col("doc_id").alias("rep"), "bands", "bits", "units").where("size(units) > 0").join(
         sized(near, 16), F.col("rep") == F.col("m"), "left_semi").dropDuplicates(["rep"])
     units = scratch.cut(units, "units")
 
     stars = member.where("rep <> head").select(F.col("head").alias("a"), F.col("rep").alias("b")).distinct()
-    first = scratch.cut(similar(stars, units, threshold), "first")
+    one = units.select(F.col("rep").alias("ra"), F.col("units").alias("ua"))
+    two = units.select(F.col("rep").alias("rb"), F.col("units").alias("ub"))
+    first = stars.join(one, F.col("a") == F.col("ra")).join(two, F.col("b") == F.col("rb"))
+    first = scratch.cut(first.select("a", "b", (jaccard("ua", "ub") >= threshold).alias("ok")), "first")
     groups = components(first.where("ok").select("a", "b"), scratch, "cc1")
 
     # texts that failed against a bucket's head meet the bucket's other texts, unless one group holds both
-    failed = member.join(first.where("not ok").select(F.col("a").alias("fa"), F.col("b").alias("fb")),
-                         (F.col("head") == F.col("fa")) & (F.col("rep") == F.col("fb"))).select("band", "key", F.col("rep").alias("x"))
-    named = member.join(groups, F.col("rep") == F.col("v"), "left").select("band", "key", "head", "rep", F.coalesce("root", "rep").alias("root"))
-    named = scratch.cut(named, "named")
-    failed = failed.join(groups, F.col("x") == F.col("v"), "left").select(F.col("band").alias("fb"), F.col("key").alias("fk"), "x", F.coalesce("root", "x").alias("xr"))
+    rooted = scratch.cut(member.where("rep <> head").join(groups, F.col("rep") == F.col("v"), "left")
+                         .select("band", "key", "head", "rep", F.coalesce("root", "rep").alias("root")), "rooted")
+    failed = rooted.join(first.where("not ok").select(F.col("a").alias("fa"), F.col("b").alias("fb")),
+                         (F.col("head") == F.col("fa")) & (F.col("rep") == F.col("fb"))).select("band", "key", "rep", "root")
     failed = scratch.cut(failed, "failed")
-    more = named.join(failed, (F.col("band") == F.col("fb")) & (F.col("key") == F.col("fk"))).where("rep <> head and xr <> root") \
-        .select(F.least("x", "rep").alias("a"), F.greatest("x", "rep").alias("b")).distinct()
-    second = scratch.cut(similar(more, units, threshold), "second")
-    links = first.where("ok").select("a", "b").union(second.where("ok").select("a", "b"))
+    open_ = failed.select(F.col("band").alias("ob"), F.col("key").alias("ok")).distinct()
+    rest = rooted.join(open_, (F.col("band") == F.col("ob")) & (F.col("key") == F.col("ok")), "left_semi")
+    # a pair is met in the first band that it shares; a link agrees in so many coordinates but for one pair in 50,000
+    least_agree = int(k * threshold - 4.1 * (k * threshold * (1 - threshold)) ** 0.5)
+    left = rest.join(units, "rep").select("band", "key", *[F.col(c).alias(f"a_{c}") for c in ("rep", "root", "bands", "bits", "units")])
+    right = failed.join(units, "rep").select(F.col("band").alias("fb"), F.col("key").alias("fk"), *[F.col(c).alias(f"b_{c}") for c in ("rep", "root", "bands", "bits", "units")])
+    meet = ((F.col("band") == F.col("fb")) & (F.col("key") == F.col("fk")) & (F.col("a_root") != F.col("b_root"))
+            & (agreement("a_bits", "b_bits", -(-k // 7)) >= least_agree + (-k) % 7)
+            & F.expr("array_position(zip_with(a_bands, b_bands, (x, y) -> x = y), true) = band + 1")
+            & (jaccard("a_units", "b_units") >= threshold))
+    second = left.join(right, meet).select(F.least("a_rep", "b_rep").alias("a"), F.greatest("a_rep", "b_rep").alias("b")).distinct()
+    second = scratch.cut(second, "second")
+    links = first.where("ok").select("a", "b").union(second)
     links = scratch.cut(links.distinct(), "links")
     groups = scratch.cut(components(links, scratch, "cc2"), "groups")
     degree = links.select(F.explode(F.array("a", "b")).alias("d")).groupBy("d").agg(F.count("*").alias("n_links"))
@@ -186,7 +200,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     text_class = folded.join(groups, F.col("rep") == F.col("v"), "left").join(degree, F.col("rep") == F.col("d"), "left") \
         .select(F.col("w1").alias("c1"), F.col("w2").alias("c2"), F.coalesce("root", "rep").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
     text_class = scratch.cut(text_class, "classes")
-    scratch.drop("member", "units", "named", "failed", "first", "second", "folded")
+    scratch.drop("member", "near", "units", "rooted", "failed", "first", "second", "folded")
     out = s.select("doc_id", "w1", "w2", (F.size("bands") > 0).alias("worded"))
     joined = out.join(text_class, F.col("worded") & (F.col("w1") == F.col("c1")) & (F.col("w2") == F.col("c2")), "left")
     return joined.select("doc_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("class_id", "doc_id")).alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")) \
