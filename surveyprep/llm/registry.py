@@ -3,13 +3,19 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from surveyprep.llm import mixing
+from surveyprep.llm import mixing, vafile, warc
 from surveyprep.llm.common import table
 from surveyprep.llm.dartminhash import near_duplicates
 from surveyprep.llm.decision_list import judge
 from surveyprep.llm.fuzzy_lines import dedup_lines
 from surveyprep.llm.packing import harmonic_pack
+from surveyprep.llm.url_tree import judge_urls
+
+#: Allowed and blocked hosts and paths of op8: (verdict, host, path).
+URL_RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
+             ("allow", "com", "/fr/"), ("block", "com", "/de/")]
 
 
 def bpe_50k() -> dict:
@@ -37,6 +43,19 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "fired")
 
 
+def op3_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vafile.top_k(table(spark, sf_dir, "embeddings"))
+
+
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = warc.archive_and_read(table(spark, sf_dir, "pages"))
+    return r.select("page_id", "payload_bytes", "payload_digest", "record_type", F.regexp_extract("refers_to", r"page:(-?\d+)", 1).try_cast("long").alias("refers_to"))
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_removed", "text")
 
@@ -47,6 +66,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op4_near_duplicates, op6_mixing, op7_quality_rules, op10_line_dedup)}
+QUERIES = {f.__name__: f for f in (op1_packing, op4_near_duplicates, op6_mixing, op7_quality_rules, op3_top_k, op8_url_filter,
+                                 op9_warc, op10_line_dedup)}
 QUERIES["pipeline"] = pipeline
-ORACLE = {"op6_mixing": mixing.OP6_SQL}
+ORACLE = {"op3_top_k": vafile.OP3_SQL, "op6_mixing": mixing.OP6_SQL}
