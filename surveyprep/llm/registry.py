@@ -10,6 +10,8 @@ from surveyprep.llm.common import table
 from surveyprep.llm.dartminhash import near_duplicates
 from surveyprep.llm.decision_list import judge
 from surveyprep.llm.fuzzy_lines import dedup_lines
+from surveyprep.llm.license_scan import licences
+from surveyprep.llm.lpf import remove_repeats
 from surveyprep.llm.packing import harmonic_pack
 from surveyprep.llm.url_tree import judge_urls
 
@@ -34,6 +36,16 @@ def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op2_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"))
+
+
+def op5_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files of a tree: source / language / id."""
+    d = table(spark, sf_dir, "documents").withColumn("path", F.concat_ws("/", F.coalesce("source", F.lit("none")), F.coalesce("lang", F.lit("none")), F.col("doc_id").cast("string")))
+    return licences(d, "doc_id", "path", "text")
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -66,7 +78,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op4_near_duplicates, op6_mixing, op7_quality_rules, op3_top_k, op8_url_filter,
+QUERIES = {f.__name__: f for f in (op1_packing, op2_repeats, op5_licences, op4_near_duplicates, op6_mixing, op7_quality_rules, op3_top_k, op8_url_filter,
                                  op9_warc, op10_line_dedup)}
 QUERIES["pipeline"] = pipeline
 ORACLE = {"op3_top_k": vafile.OP3_SQL, "op6_mixing": mixing.OP6_SQL}
