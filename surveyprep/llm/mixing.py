@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from surveyprep.llm.common import WORD, Scratch
+from surveyprep.llm.common import WORD, Scratch, sized
 
 #: Leading hex digits of the shuffle key that name a slice: 4,096 slices a source.
 SLICE_DIGITS = 3
@@ -89,15 +89,22 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """The mix's rows with the columns of ``docs``: a document occurs as often as the mix takes it whole.
 
     A document that the truncation cuts is kept whole if at least half of it
-    is taken. The result is range-sorted by virtual finish time.
+    is taken. Rows that repeat an id and a text share their copies evenly.
+    The result is range-sorted by virtual finish time; what is planned are
+    narrow rows, and only the mix itself is sorted with its texts.
     """
-    own = docs.columns
-    m = mix(docs, id_col=id_col, text_col=text_col, source_col=source_col, carry=tuple(own), **options)
-    copies = F.floor((2 * F.col("taken") + F.col("size")) / (2 * F.col("size"))).cast("int")
-    m = m.where("taken > 0").withColumn("copy", F.explode(F.sequence(F.lit(0), copies)))
-    m = m.where(F.col("copy") > 0)
-    at = F.col("virtual_finish") + (F.col("copy") - 1) * F.col("source_size") / F.col("target")
-    return m.orderBy(at, "doc_id").select(*[F.col(f"carry_{c}").alias(c) for c in own])
+    scratch = Scratch(docs.sparkSession, "mix-rows")
+    rows = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("own_id"), F.xxhash64(text_col).alias("own_text"))
+    narrow = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(source_col).alias("source"), F.xxhash64(text_col).alias("th"))
+    m = mix(narrow, id_col="id", carry=("th",), **options)
+    copies = F.floor((2 * F.col("taken") + F.col("size")) / (2 * F.col("size")))
+    plan = m.where("taken > 0").groupBy(F.col("doc_id").alias("plan_id"), F.col("carry_th").alias("plan_text")).agg(
+        F.round(F.avg(copies)).cast("int").alias("copies"), F.min("virtual_finish").alias("finish"),
+        F.min(F.col("source_size") / F.col("target")).alias("turn")).where("copies > 0")
+    plan = scratch.cut(plan, "plan")
+    out = rows.join(sized(plan, 56), F.col("own_id").eqNullSafe(F.col("plan_id")) & (F.col("own_text") == F.col("plan_text")))
+    out = out.withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
+    return out.orderBy(F.col("finish") + F.col("copy") * F.col("turn"), "own_id").select("row.*")
 
 
 OP6_SQL = r"""
