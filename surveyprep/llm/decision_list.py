@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from surveyprep.llm.common import Scratch
+from surveyprep.llm.common import Scratch, sized
 
 SYMBOLS = "#*$%&|<>"
 BLANKS = " \t\n\x0b\x0c\r"
@@ -181,3 +181,13 @@ def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     counts = scratch.cut(count_features(docs, id_col, text_col, carry), "counts")
     rules = fit(counts, labels, **options)
     return counts.withColumn("fired", rule_expression(rules)).withColumn("kept", ~F.col("base_failed") & (F.col("fired") == 0))
+
+
+def kept_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` that are kept; judged are narrow rows, so texts are only read."""
+    narrow = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("th"))
+    judged = judge(narrow, labels, "id", carry=("th",), **options)
+    gone = judged.where("not kept").select(F.col("doc_id").alias("gone_id"), F.col("carry_th").alias("gone_text")).distinct()
+    gone = Scratch(docs.sparkSession, "rules-gone").cut(gone, "gone")
+    rows = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("own_id"), F.xxhash64(text_col).alias("own_text"))
+    return rows.join(sized(gone, 32), F.col("own_id").eqNullSafe(F.col("gone_id")) & (F.col("own_text") == F.col("gone_text")), "left_anti").select("row.*")
