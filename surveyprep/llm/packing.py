@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
-from surveyprep.llm.common import Scratch
+from surveyprep.llm.common import Scratch, sized
 
 #: Tails of at most this many tokens are never cut: k of them waste less than one of them.
 SMALL = 64
@@ -155,8 +155,9 @@ def harmonic_pack(docs: DataFrame, encoder: dict, id_col: str = "doc_id", text_c
     places = counts.join(classes.withColumnRenamed("per_seq", "c"), F.col("per_seq") == F.col("c")).select(
         "per_seq", "worker", "first", "whole", "base", "n_whole").withColumnsRenamed({"per_seq": "c", "worker": "w"})
 
-    placed = pieces.join(places, (F.col("per_seq") == F.col("c")) & (F.col("worker") == F.col("w")))
-    placed = placed.withColumn("idx", F.col("first") + F.col("nth")).drop("c", "w", "worker", "nth", "first")
+    # places are worked out on narrow rows; the ids stay where they were written
+    placed = pieces.select("per_seq", "worker", "nth", "length").join(places, (F.col("per_seq") == F.col("c")) & (F.col("worker") == F.col("w")))
+    placed = placed.withColumn("idx", F.col("first") + F.col("nth")).drop("c", "w", "first")
     bin_ = F.floor(F.col("idx") / F.col("per_seq"))
     full = placed.where(bin_ < F.col("whole")).withColumn("sequence_id", F.col("base") + bin_)
     full = full.withColumn("offset", F.sum("length").over(W.partitionBy("sequence_id").orderBy("idx")) - F.col("length"))
@@ -165,9 +166,9 @@ def harmonic_pack(docs: DataFrame, encoder: dict, id_col: str = "doc_id", text_c
     fitted = rest.select("per_seq", "idx", "length", F.lit(0).alias("one")).groupBy("one").applyInPandas(
         first_fit_decreasing(capacity), "per_seq int, idx long, extra long, offset long")
     fitted = fitted.withColumnsRenamed({"per_seq": "c", "idx": "i"})
-    rest = rest.join(fitted, (F.col("per_seq") == F.col("c")) & (F.col("idx") == F.col("i")))
-    rest = rest.withColumn("sequence_id", F.col("n_whole") + F.col("extra"))
-
-    out = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", F.col("sequence_id").cast("long").alias("sequence_id"),
-           F.col("offset").cast("long").alias("offset"), "per_seq", *(["ids"] if with_ids else [])]
-    return full.select(*out).unionByName(rest.select(*out))
+    rest = rest.join(fitted, (F.col("per_seq") == F.col("c")) & (F.col("idx") == F.col("i"))).withColumn("sequence_id", F.col("n_whole") + F.col("extra"))
+    place = [F.col("per_seq").alias("c"), F.col("worker").alias("w"), F.col("nth").alias("t"),
+             F.col("sequence_id").cast("long").alias("sequence_id"), F.col("offset").cast("long").alias("offset")]
+    place = scratch.cut(full.select(*place).unionByName(rest.select(*place)), "place")
+    out = pieces.join(sized(place, 40), (F.col("per_seq") == F.col("c")) & (F.col("worker") == F.col("w")) & (F.col("nth") == F.col("t")))
+    return out.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "per_seq", *(["ids"] if with_ids else []))
