@@ -14,9 +14,11 @@ one position. They are found without sorting every suffix:
    inside a document are found where it is read.
 2. Runs of equal bytes are folded by key and content hash: all their windows
    match.
-3. Runs that share a key with other contents are opened: their windows are
-   placed in intervals by 128-bit hashes of their bytes, counted by partial
-   aggregation, one representative per content.
+3. Runs that share a key with other contents are opened, one representative
+   per content: their bytes, not their windows, are dealt out by key, and a
+   task orders the windows of a bounded number of contents and finds the
+   intervals. A key of more contents than a task may hold has its windows
+   dealt out by hash and counted by partial aggregation instead.
 """
 
 from __future__ import annotations
@@ -29,9 +31,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from surveyprep.llm.common import POWERS, Powers, Scratch, mix64, prefix_hash, sized
+from surveyprep.llm.common import POWERS, Scratch, mix64, prefix_hash, sized
 
-SECOND = Powers(0xD6E8FEB86659FD93)
+#: Contents that one task orders at most; a key of more goes by window hashes.
+TASK_CONTENTS = 20_000
 
 
 def string_hashes(data: np.ndarray, width: int, powers: Powers = POWERS) -> np.ndarray:
@@ -100,23 +103,71 @@ def scan(docs: DataFrame, depth: int, gram: int) -> DataFrame:
     return docs.mapInArrow(run, f"doc_id {kind}, th long, start int, n int, key long, content long")
 
 
-def windows(found: DataFrame, depth: int) -> DataFrame:
-    """(h1, h2, key, content, i) for the windows of the wanted runs of each text."""
+def strings(found: DataFrame, depth: int) -> DataFrame:
+    """(key, content, bytes) of the wanted runs of each text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for text, wanted in zip(batch.column(0), batch.column(1)):
-                data = np.frombuffer(text.as_py().encode("utf-8", "surrogatepass"), np.uint8)
+                data = text.as_py().encode("utf-8", "surrogatepass")
                 w = wanted.values
-                start, n, key, content = (w.field(f).to_numpy() for f in ("start", "n", "key", "content"))
-                at = np.repeat(start, n) + (np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n))
-                out = []
-                for powers in (POWERS, SECOND):
-                    p = prefix_hash(data, powers)
-                    out.append(mix64((p[at + depth] - p[at]) * powers.down[at]).view(np.int64))
-                yield pa.RecordBatch.from_arrays([*map(pa.array, out), pa.array(np.repeat(key, n)), pa.array(np.repeat(content, n)),
-                                                  pa.array((at - np.repeat(start, n)).astype(np.int32))], names=["h1", "h2", "key", "content", "i"])
+                cut = [data[a:a + n + depth - 1] for a, n in zip(w.field("start").to_pylist(), w.field("n").to_pylist())]
+                yield pa.RecordBatch.from_arrays([w.field("key"), w.field("content"), pa.array(cut, pa.binary())], names=["key", "content", "bytes"])
+
+    return found.mapInArrow(run, "key long, content long, bytes binary")
+
+
+def window_hashes(key: np.ndarray, contents: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, content's number, offset) of all windows of the contents; the hash holds the key too."""
+    size = np.array([len(c) for c in contents])
+    n = size - depth + 1
+    p = prefix_hash(np.frombuffer(b"".join(contents), np.uint8))
+    of = np.repeat(np.arange(len(contents)), n)
+    i = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    at = (np.cumsum(size) - size)[of] + i
+    return mix64(mix64((p[at + depth] - p[at]) * POWERS.down[at]) ^ key.view(np.uint64)[of]), of, i
+
+
+def order_windows(depth: int):
+    """(key, content, a, m): stretches of windows that recur, of the contents of one bucket of keys."""
+    def run(t: pa.Table) -> pa.Table:
+        key, content = t.column("key").to_numpy(), t.column("content").to_numpy()
+        h, of, i = window_hashes(key, t.column("bytes").to_pylist(), depth)
+        order = np.argsort(h, kind="stable")
+        tie = h[order][1:] == h[order][:-1]
+        on = np.zeros(len(h), bool)
+        # in an interval, the position before is the earlier match, the one after the later match
+        on[order[1:][tie]] = on[order[:-1][tie]] = True
+        new = np.concatenate([[True], of[1:] != of[:-1]])
+        first = np.flatnonzero(on & (new | ~np.concatenate([[False], on[:-1]])))
+        last = np.flatnonzero(on & (np.concatenate([new[1:], [True]]) | ~np.concatenate([on[1:], [False]])))
+        return pa.table({"hk": key[of[first]], "hc": content[of[first]], "a": i[first].astype(np.int32), "m": (last - first + 1).astype(np.int32)})
+    return run
+
+
+def explode_windows(some: DataFrame, depth: int) -> DataFrame:
+    """(key, content, h, i) for every window of the contents."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1024):
+                part = batch.slice(at, 1024)
+                key = part.column(0).to_numpy()
+                h, of, i = window_hashes(key, part.column(2).to_pylist(), depth)
+                yield pa.RecordBatch.from_arrays([pa.array(key[of]), part.column(1).take(pa.array(of)), pa.array(h.view(np.int64)), pa.array(i.astype(np.int32))],
+                                                 names=["key", "content", "h", "i"])
+
+    return some.mapInArrow(run, "key long, content long, h long, i int")
+
 
-    return found.mapInArrow(run, "h1 long, h2 long, key long, content long, i int")
+def crowded(some: DataFrame, scratch: Scratch, depth: int) -> DataFrame:
+    """As order_windows, for keys of very many contents, by joins and partial aggregates."""
+    w = scratch.cut(explode_windows(some, depth), "windows")
+    # a window recurs if another content holds it
+    twice = scratch.cut(w.groupBy("h").agg(F.min("content").alias("x"), F.max("content").alias("y")).where("x <> y").select(F.col("h").alias("g")), "twice")
+    hits = w.join(sized(twice, 16), F.col("h") == F.col("g")).groupBy("key", "content").agg(F.array_sort(F.collect_set("i")).alias("at"))
+    hits = hits.withColumn("a", F.expr("filter(transform(at, (x, j) -> if(j = 0 or at[j - 1] < x - 1, x, null)), x -> x is not null)")) \
+        .withColumn("b", F.expr("filter(transform(at, (x, j) -> if(j = size(at) - 1 or get(at, j + 1) > x + 1, x, null)), x -> x is not null)"))
+    hits = hits.select(F.col("key").alias("hk"), F.col("content").alias("hc"), F.explode(F.arrays_zip("a", "b")).alias("z"))
+    return hits.select("hk", "hc", F.col("z.a").alias("a"), (F.col("z.b") - F.col("z.a") + 1).alias("m"))
 
 
 def merged(spots: DataFrame, depth: int) -> DataFrame:
@@ -162,7 +213,7 @@ def cut_out(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
-def repeated_spans(docs: DataFrame, scratch: Scratch, depth: int, gram: int) -> DataFrame:
+def repeated_spans(docs: DataFrame, scratch: Scratch, depth: int, gram: int, task_contents: int) -> DataFrame:
     """(doc_id, th, cut) of the rows that lose bytes, from (doc_id, th, text)."""
     runs = scratch.cut(scan(docs.select("doc_id", "th", "text"), depth, gram), "runs")
     shared = runs.where("key is not null").groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select(F.col("key").alias("k"))
@@ -171,24 +222,21 @@ def repeated_spans(docs: DataFrame, scratch: Scratch, depth: int, gram: int) ->
     # one row per content: how often it occurs, and where first
     content = some.groupBy("key", "content").agg(F.count("*").alias("c"), F.min(F.struct("doc_id", "th", "start", "n")).alias("at"))
     content = scratch.cut(content, "content")
-    mixed = scratch.cut(content.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select(F.col("key").alias("k")), "mixed")
-    open_ = content.join(sized(mixed, 16), F.col("key") == F.col("k")).select("key", "content", "at.*")
+    mixed = content.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select(F.col("key").alias("k"), F.col("c").alias("contents"))
+    mixed = scratch.cut(mixed, "mixed")
+    open_ = content.join(sized(mixed, 24), F.col("key") == F.col("k")).select("key", "content", "at.*")
     per_doc = scratch.cut(open_.groupBy("doc_id", "th").agg(F.collect_list(F.struct("start", "n", "key", "content")).alias("wanted"))
                           .withColumnsRenamed({"doc_id": "d", "th": "t"}), "wanted")
-    total = open_.count()
-    same = F.col("doc_id").eqNullSafe(F.col("d")) & F.col("th").eqNullSafe(F.col("t"))
+    total = mixed.agg(F.sum("contents")).first()[0] or 0
+    same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("th") == F.col("t"))
     with_text = docs.join(F.broadcast(per_doc) if total * 32 <= 32 << 20 else per_doc, same)
-    w = scratch.cut(windows(with_text.select("text", "wanted"), depth), "windows")
-    # a window recurs if another content holds it; repeated rows of one document hold the same content
-    twice = scratch.cut(w.groupBy("h1", "h2").agg(F.min(F.struct("key", "content")).alias("a"), F.max(F.struct("key", "content")).alias("b")).where("a <> b")
-                        .select(F.col("h1").alias("g1"), F.col("h2").alias("g2")), "twice")
-    hits = w.join(sized(twice, 24), (F.col("h1") == F.col("g1")) & (F.col("h2") == F.col("g2"))).groupBy("key", "content").agg(F.collect_set("i").alias("offsets"))
-    hits = hits.withColumn("offsets", F.array_sort("offsets"))
-    # consecutive offsets become stretches of windows
-    hits = hits.withColumn("cuts", F.expr("filter(transform(offsets, (x, j) -> if(j = 0 or offsets[j - 1] < x - 1, x, null)), x -> x is not null)")) \
-        .withColumn("ends", F.expr("filter(transform(offsets, (x, j) -> if(j = size(offsets) - 1 or get(offsets, j + 1) > x + 1, x, null)), x -> x is not null)"))
-    hits = hits.select(F.col("key").alias("hk"), F.col("content").alias("hc"), F.explode(F.arrays_zip("cuts", "ends")).alias("z")) \
-        .select("hk", "hc", F.col("z.cuts").alias("a"), (F.col("z.ends") - F.col("z.cuts") + 1).alias("m"))
+    # repeated rows of a document bring the same contents again
+    opened = scratch.cut(strings(with_text.select("text", "wanted"), depth).join(sized(mixed, 24), F.col("key") == F.col("k")), "strings")
+    buckets = max(1, -(-total // TASK_CONTENTS))
+    calm = opened.where(F.col("contents") <= task_contents).dropDuplicates(["key", "content"]).select(
+        "key", "content", "bytes", F.pmod(F.xxhash64("key"), F.lit(buckets)).alias("bucket"))
+    hits = calm.groupBy("bucket").applyInArrow(order_windows(depth), "hk long, hc long, a int, m int")
+    hits = hits.union(crowded(opened.where(F.col("contents") > task_contents), scratch, depth))
     hits = hits.join(content.where("c > 1").select(F.col("key").alias("fk"), F.col("content").alias("fc")), (F.col("hk") == F.col("fk")) & (F.col("hc") == F.col("fc")), "left_anti")
     full = content.where("c > 1").select(F.col("key").alias("hk"), F.col("content").alias("hc"), F.lit(0).alias("a"), F.lit(-1).alias("m"))
     verdict = scratch.cut(full.union(hits), "verdict")
@@ -196,11 +244,12 @@ def repeated_spans(docs: DataFrame, scratch: Scratch, depth: int, gram: int) ->
         "doc_id", "th", (F.col("start") + F.col("a")).alias("start"), F.when(F.col("m") < 0, F.col("n")).otherwise(F.col("m")).alias("n"))
     local = runs.where("key is null").select("doc_id", "th", "start", "n")
     cuts = scratch.cut(merged(spots.union(local), depth), "cuts")
-    scratch.drop("runs", "shared", "some", "content", "mixed", "wanted", "windows", "twice", "verdict")
+    scratch.drop("runs", "shared", "some", "content", "mixed", "wanted", "strings", "windows", "twice", "verdict")
     return cuts
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth: int = 200, gram: int = 24) -> DataFrame:
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth: int = 200, gram: int = 64,
+                   task_contents: int = TASK_CONTENTS) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row: bytes covered by a repeated string of ``depth`` bytes go.
 
     Texts are UTF-8 bytes, null is empty, and no match crosses documents.
@@ -211,7 +260,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     scratch = Scratch(docs.sparkSession, "lpf")
     d = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).withColumn("th", F.xxhash64("text"))
-    cuts = repeated_spans(d, scratch, depth, gram).withColumnsRenamed({"doc_id": "d", "th": "t"})
+    cuts = repeated_spans(d, scratch, depth, gram, task_contents).withColumnsRenamed({"doc_id": "d", "th": "t"})
     size = cuts.agg(F.sum(F.length("cut") + 32)).first()[0] or 0
     cuts = F.broadcast(cuts) if size <= 32 << 20 else cuts
     rows = d.join(cuts, F.col("doc_id").eqNullSafe(F.col("d")) & F.col("th").eqNullSafe(F.col("t")), "left")
