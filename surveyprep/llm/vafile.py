@@ -58,6 +58,8 @@ def block_top_k(k: int, cell_bits: int):
                 base = part @ low.T
                 upper = base + width * np.maximum(part, 0).sum(axis=1, keepdims=True)
                 lower = base + width * np.minimum(part, 0).sum(axis=1, keepdims=True)
+                if kind is object:  # bounds and scores stop at the range of long before they are ranked
+                    upper, lower = (np.minimum(np.maximum(x, -(1 << 63)), (1 << 63) - 1) for x in (upper, lower))
                 for i in range(len(part)):
                     other = np.flatnonzero(ids != own[at + i])
                     up = upper[i, other]
@@ -71,8 +73,9 @@ def block_top_k(k: int, cell_bits: int):
                         if len(best) >= k and best[k - 1][0] < -up[c]:
                             break
                         read = other[c:c + 64]
-                        best = sorted(best + [(-s, int(ids[j])) for s, j in zip(wide[read] @ part[i], read)])[:k]
-                    out += [(int(own[at + i]), j, min(max(int(-s), -(1 << 63)), (1 << 63) - 1)) for s, j in best]
+                        exact = (min(max(int(s), -(1 << 63)), (1 << 63) - 1) for s in wide[read] @ part[i])
+                        best = sorted(best + [(-s, int(ids[j])) for s, j in zip(exact, read)])[:k]
+                    out += [(int(own[at + i]), j, -s) for s, j in best]
         return pd.DataFrame(out, columns=["query_id", "vec_id", "score"]).astype("int64")
     return run
 
