@@ -130,7 +130,9 @@ def map_sql(name: str, fmap: FieldMap) -> str:
     col = f"`{name}`"
     if fmap.codes:
         pairs = ", ".join(f"CAST({sql_literal(k)} AS {kt}), {sql_literal(v)}" for k, v in fmap.codes)
-        looked = f"try_element_at(map({pairs}), CAST({col} AS {kt}))"
+        # a value that isn't a code in its own type (1.7, 3000000000) is unlisted
+        key = col if kt == "STRING" else f"CASE WHEN TRY_CAST({col} AS {kt}) = {col} THEN TRY_CAST({col} AS {kt}) END"
+        looked = f"try_element_at(map({pairs}), CAST({key} AS {kt}))"
     else:
         looked = "CAST(NULL AS STRING)"
     if fmap.has_null_label:
@@ -147,7 +149,8 @@ def map_expr(c, fmap: FieldMap) -> Column:
     if isinstance(c, str):
         return F.expr(map_sql(c, fmap))
     col = c
-    key = col.cast(fmap.key_type)
+    whole = col.try_cast(fmap.key_type)
+    key = col.cast("string") if fmap.key_type == "string" else F.when(whole == col, whole)
     flat = []
     for code, lab in fmap.codes:
         flat += [F.lit(code).cast(fmap.key_type), F.lit(lab).cast("string")]
@@ -192,7 +195,8 @@ def map_codes_join(df: DataFrame, c: str, fmap: FieldMap) -> DataFrame:
     m = spark.createDataFrame([(k, lab) for k, lab in fmap.codes],
                               T.StructType([T.StructField("__code", T.StringType() if kt == "string" else T.IntegerType()),
                                             T.StructField("__label", T.StringType())]))
-    joined = df.join(F.broadcast(m), F.col(c).cast(kt) == F.col("__code"), "left")
+    key = F.col(c).cast("string") if kt == "string" else F.when(F.col(c).try_cast(kt) == F.col(c), F.col(c).try_cast(kt))
+    joined = df.join(F.broadcast(m), key == F.col("__code"), "left")
     lab = F.col("__label")
     if fmap.has_null_label:
         lab = F.when(F.col(c).isNull(), F.lit(fmap.null_label)).otherwise(lab)

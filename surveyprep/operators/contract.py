@@ -91,8 +91,15 @@ def store_assign(c, spec: ColumnSpec) -> Column:
     if spec.sql_type == "date":
         return F.to_date(col)
     if spec.sql_type in ("int", "integer", "bigint", "tinyint", "smallint"):
-        # float -> int drops the fraction (truncation toward zero)
-        return col.cast("double").cast(spec.spark_type)
+        # fractions are dropped (truncation toward zero) in the source's own type; text goes through decimal
+        kind = F.typeof(col)
+        text = F.regexp_replace(col.cast("string").try_cast("decimal(38,10)").cast("string"), r"\..*$", "")
+        whole = F.when(kind == "string", text.cast(spec.spark_type)).otherwise(col.cast(spec.spark_type))
+        if spec.sql_type != "tinyint":
+            return whole
+        # the target's tinyint is 0..255; its server refuses other values, and so does the load
+        refused = F.raise_error(F.concat(F.lit("tinyint out of range: "), whole.cast("string"))).cast(spec.spark_type)
+        return F.when(whole.isNull() | whole.between(0, 255), whole).otherwise(refused)
     return col.cast(spec.spark_type)
 
 

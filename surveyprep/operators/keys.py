@@ -24,6 +24,7 @@ from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from surveyprep.session import ensure_checkpoint_dir
 
@@ -42,10 +43,11 @@ def ranged_row_number(df: DataFrame, order: Sequence[str], name: str, start: int
                       num_partitions: int | None = None) -> DataFrame:
     """Global 0/1-based row number in ``order`` without a single-task window.
 
-    ``order`` must be a total order (unique) for the numbering to be
-    deterministic; ties are broken by the remaining columns otherwise.
+    Ties of ``order`` are broken by the remaining columns (those of a type
+    that can be ordered), so only fully equal rows are interchangeable.
     """
     order = _cols(order)
+    order = order + [f.name for f in df.schema.fields if f.name not in order and not isinstance(f.dataType, (T.MapType, T.VariantType))]
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     n = _num_partitions(df, num_partitions)
@@ -107,20 +109,10 @@ def add_sentinel(df: DataFrame, values: dict) -> DataFrame:
 
 def natural_key(df: DataFrame, order: Sequence[str] | str, name: str, start: int = 0,
                 num_partitions: int | None = None) -> DataFrame:
-    """WIN3 at scale: number the rows of a wide frame in natural-key order.
+    """WIN3: number the rows of a frame in natural-key order.
 
-    Only the (declared unique) key columns are ranged, numbered and
-    checkpointed; the wide frame is joined back once on the key with
-    null-safe equality. A duplicated natural key (a contract violation the
-    unique-key check reports) shares one number.
+    Every row gets a number of its own; rows that share a natural key follow
+    each other, ordered by their other columns. One pass: the frame is ranged
+    and numbered as it is, not joined back.
     """
-    order = _cols(order)
-    keys = df.select(*order).distinct()
-    numbered = ranged_row_number(keys, order, name, start, num_partitions)
-    renamed = numbered.select(*[F.col(k).alias(f"__nk_{i}") for i, k in enumerate(order)], F.col(name))
-    cond = None
-    for i, k in enumerate(order):
-        c = df[k].eqNullSafe(renamed[f"__nk_{i}"])
-        cond = c if cond is None else (cond & c)
-    out = df.join(renamed, cond, "left")
-    return out.drop(*[f"__nk_{i}" for i in range(len(order))])
+    return ranged_row_number(df, order, name, start, num_partitions)

@@ -106,33 +106,33 @@ def raw_sources(spark: SparkSession, sf_dir: str, dataset: str) -> dict:
     if dataset in ("households", "persons", "day", "border_trips"):
         o = table(spark, sf_dir, "orders")
         seed, ts = "o_orderkey", "o_orderdate"
-        fixed = {"hhid": "CAST(o_orderkey AS INT)"}
+        fixed = {"hhid": "o_orderkey"}
         if dataset in ("persons", "day"):
             fixed["personid"] = "CAST(o_orderkey * 100 + 1 AS BIGINT)"
             fixed["pernum"] = "1"
         if dataset == "day":
             fixed["traveldate"] = "to_date(o_orderdate)"
             fixed["daynum"] = "CAST(o_orderkey % 7 + 1 AS INT)"
-        split = F.col("o_orderstatus") == "P"
+        split = F.col("o_orderstatus").eqNullSafe("P")  # a null belongs to the main file
         parts = {"main": o.where(~split), "at": o.where(split)}
     elif dataset == "vehicles":
         li = table(spark, sf_dir, "lineitem")
         seed, ts = "l_orderkey * 10 + l_linenumber", "l_shipdate"
-        fixed = {"hhid": "CAST(l_orderkey AS INT)", "vehnum": "l_linenumber"}
-        split = F.col("l_returnflag") == "R"
+        fixed = {"hhid": "l_orderkey", "vehnum": "l_linenumber"}
+        split = F.col("l_returnflag").eqNullSafe("R")
         parts = {"main": li.where(~split), "at": li.where(split)}
     elif dataset == "intercept":
         cu = table(spark, sf_dir, "customer")
         seed = "c_custkey"
         ts = "make_timestamp_ntz(2017, 4, CAST(c_custkey % 28 + 1 AS INT), 8, 0, 0)"
-        fixed = {"hhid": "CAST(c_custkey AS INT)"}
+        fixed = {"hhid": "c_custkey"}
         parts = {"at": cu}
     elif dataset in ("trips", "location"):
         ev = table(spark, sf_dir, "events")
         seed, ts = "event_id", "ts"
         if dataset == "trips":
             fixed = {"tripid": "event_id", "tripid_linked": "event_id", "location_tripid": EV_TRIP_SQL,
-                     "personid": "CAST(user_id * 100 + 1 AS BIGINT)", "hhid": "CAST(user_id AS INT)",
+                     "personid": "CAST(user_id * 100 + 1 AS BIGINT)", "hhid": "user_id",
                      "traveldate": "to_date(ts)", "daynum": "day(ts)", "departure_time": "ts",
                      "arrival_time": "CAST(ts + INTERVAL 20 MINUTES AS TIMESTAMP_NTZ)",
                      "h_complete_weekdays": "CASE WHEN event_id % 9 = 0 THEN CAST(NULL AS INT) "
@@ -141,7 +141,7 @@ def raw_sources(spark: SparkSession, sf_dir: str, dataset: str) -> dict:
             fixed = {"tripid": EV_TRIP_SQL, "collected_at": "ts", "accuracy": "value",
                      "heading": "CAST(event_id % 360 AS DOUBLE)", "speed": "value / 3.0D",
                      "lat": EV_LAT_SQL, "lng": EV_LNG_SQL}
-        split = F.col("event_type") == "error"
+        split = F.col("event_type").eqNullSafe("error")
         parts = {"main": ev.where(~split), "at": ev.where(split)}
     else:
         raise KeyError(dataset)

@@ -46,8 +46,9 @@ def get_spark(master: str | None = None, app: str = "surveyprep",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
-    The folder named by ``spark.checkpoint.dir`` is used as is. Only when
-    the session has none (local tests) is a fresh private folder created.
+    The folder named by ``spark.checkpoint.dir`` is used as is. A session
+    without one gets a fresh private folder on a local master only; on a
+    cluster, where executors wouldn't see it, that is an error.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
@@ -55,6 +56,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return d
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="surveyprep-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
@@ -70,19 +73,20 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{base}/surveyprep-stage/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def widen(df, min_partitions: int | None = None):
-    """Round-robin repartition only when ``df`` has fewer partitions than the
-    session's default parallelism (small inputs feeding wide CPU-bound
-    projections). Large inputs already arrive in many splits and pass
-    through untouched, so no shuffle is added at scale."""
+#: Estimated input bytes up to which ``widen`` spreads a frame over the session's cores.
+SMALL_INPUT = 256 << 20
+
+
+def widen(df, partitions: int | None = None):
+    """Round-robin repartition of a small input that feeds wide CPU-bound projections.
+
+    The size is the optimizer's estimate, so nothing runs to learn it. Larger
+    inputs arrive in many splits and pass through without a shuffle.
+    """
     spark = df.sparkSession
-    try:
-        target = min_partitions or spark.sparkContext.defaultParallelism
-        if df._jdf.rdd().getNumPartitions() >= target:
-            return df
-    except Exception:  # noqa: BLE001 - no JVM handle (e.g. a remote session): leave as is
+    if df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() > SMALL_INPUT:
         return df
-    return df.repartition(target)
+    return df.repartition(partitions or spark.sparkContext.defaultParallelism)
 
 
 RUNTIME_CONF = {
@@ -94,7 +98,5 @@ RUNTIME_CONF = {
 def apply_runtime_conf(spark) -> None:
     """Session settings the library relies on that can be changed at run time."""
     for k, v in RUNTIME_CONF.items():
-        try:
+        if spark.conf.get(k, None) != v:
             spark.conf.set(k, v)
-        except Exception:  # noqa: BLE001 - some deployments pin confs
-            pass

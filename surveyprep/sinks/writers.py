@@ -9,6 +9,8 @@ fails the load, as a bulk insert with no allowed errors would).
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,7 +22,8 @@ from surveyprep.session import shared_dir
 def write_delimited(df: DataFrame, path: str, sep: str = "|", mode: str = "overwrite") -> str:
     """SNK1: header + ``sep``-delimited text; nulls as empty fields."""
     (df.write.mode(mode).option("sep", sep).option("header", True)
-       .option("nullValue", "").option("emptyValue", '""')
+       .option("nullValue", "").option("emptyValue", '""').option("escape", '"')
+       .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
        .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS").csv(path))
     return path
 
@@ -28,7 +31,8 @@ def write_delimited(df: DataFrame, path: str, sep: str = "|", mode: str = "overw
 def read_staged(spark: SparkSession, path: str, schema: T.StructType | str, sep: str = "|") -> DataFrame:
     """SNK2: typed read of our own staged file (known column order), FAILFAST."""
     return (spark.read.schema(schema).option("sep", sep).option("header", True)
-            .option("mode", "FAILFAST").option("nullValue", "")
+            .option("mode", "FAILFAST").option("nullValue", "").option("escape", '"').option("multiLine", True)
+            .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
             .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS").csv(path))
 
 
@@ -45,15 +49,25 @@ def stage_insert(df: DataFrame, contract: TableContract | None, target: str,
     The frame is staged as pipe text in a fresh shared folder, read back
     typed, exposed as a temporary view, transformed with SQL (WKT shape
     columns get a constant SRID column, GEO6), conformed to the contract
-    and written (overwrite: re-running replaces the target). The view is
-    dropped afterwards. Returns the target read back.
+    and written (overwrite: re-running replaces the target). The view and
+    the staged files go afterwards, also on failure. Returns the target read back.
     """
     spark = df.sparkSession
     stage = shared_dir(spark, "stage")
     write_delimited(df, stage)
     staged = read_staged(spark, stage, df.schema)
-    view = view or f"stage_{abs(hash(target)) % 10**8}"
+    view = view or f"stage_{uuid.uuid4().hex}"
     staged.createOrReplaceTempView(view)
+    try:
+        _insert(spark, view, contract, target, shapes, srid)
+    finally:
+        spark.catalog.dropTempView(view)
+        folder = spark._jvm.org.apache.hadoop.fs.Path(stage)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    return spark.read.parquet(target)
+
+
+def _insert(spark: SparkSession, view: str, contract: TableContract | None, target: str, shapes: dict | None, srid: int) -> None:
     extra = ", ".join(f"{srid} AS {s}_srid" for s in (shapes or {}))
     sql = f"SELECT *{', ' + extra if extra else ''} FROM {view}"
     out = spark.sql(sql)
@@ -62,5 +76,3 @@ def stage_insert(df: DataFrame, contract: TableContract | None, target: str,
         out = out.select(*[store_assign(F.col(f"`{c.name}`"), c).alias(c.name) for c in contract.columns],
                          *srid_cols)
     out.write.mode("overwrite").parquet(target)
-    spark.catalog.dropTempView(view)
-    return spark.read.parquet(target)

@@ -31,9 +31,14 @@ READ_TYPES = {
 }
 
 
-def read_text_csv(spark: SparkSession, paths, sep: str = ",") -> DataFrame:
-    """All-text read of header CSV file(s); ``paths`` may be a list (SRC3)."""
+def read_text_csv(spark: SparkSession, paths, sep: str = ",", multi_line: bool = False) -> DataFrame:
+    """All-text read of header CSV file(s); ``paths`` may be a list (SRC3).
+
+    A quote inside a quoted cell is doubled. ``multi_line`` reads newlines
+    inside quoted cells; a file is then read by one task.
+    """
     return (spark.read.option("header", True).option("sep", sep)
+            .option("quote", '"').option("escape", '"').option("multiLine", multi_line)
             .option("inferSchema", False).option("nullValue", None)
             .option("emptyValue", "").csv(paths))
 
@@ -53,15 +58,38 @@ def typed_select(df: DataFrame, columns: Iterable[str], types: Mapping[str, str]
         t = READ_TYPES.get(types.get(name, "string"), types.get(name, "string"))
         c = F.col(f"`{name}`")
         txt = F.when(c.isin(tokens), F.lit(None).cast("string")).otherwise(c)
-        exprs.append((txt if t == "string" else F.trim(txt).try_cast(t)).alias(name))
+        exprs.append(typed_cell(txt, t).alias(name))
     return df.select(*exprs)
 
 
+def typed_cell(txt, t: str):
+    """A text cell as ``t``, null if it can't be read; whole numbers may be written with a fraction of zeros."""
+    if t == "string":
+        return txt
+    if t not in ("int", "bigint"):
+        return F.trim(txt).try_cast(t)
+    number = F.trim(txt).try_cast("decimal(38,10)")
+    return F.coalesce(F.trim(txt).try_cast(t), F.when(number == F.floor(number), number.cast("string").try_cast("decimal(38,0)").try_cast(t)))
+
+
+def rejected_cells(df: DataFrame, columns: Iterable[str], types: Mapping[str, str] | None = None,
+                   na_tokens: Iterable[str] = PANDAS_NA_TOKENS) -> DataFrame:
+    """(field, rejected): cells per typed column that hold text but no value of the type, in one pass."""
+    types, tokens = dict(types or {}), list(na_tokens)
+    counts = []
+    for name in columns:
+        t = READ_TYPES.get(types.get(name, "string"), types.get(name, "string"))
+        c = F.col(f"`{name}`")
+        bad = c.isNotNull() & ~c.isin(tokens) & typed_cell(c, t).isNull()
+        counts.append(F.struct(F.lit(name).alias("field"), F.count_if(bad).alias("rejected")))
+    return df.agg(F.array(*counts).alias("a")).select(F.inline("a"))
+
+
 def read_typed_csv(spark: SparkSession, paths, columns: Iterable[str],
                    types: Mapping[str, str] | None = None, sep: str = ",",
-                   na_tokens: Iterable[str] = PANDAS_NA_TOKENS) -> DataFrame:
+                   na_tokens: Iterable[str] = PANDAS_NA_TOKENS, multi_line: bool = False) -> DataFrame:
     """SRC1/SRC2: column-pruned, typed read bound by header name."""
-    return typed_select(read_text_csv(spark, paths, sep), columns, types, na_tokens)
+    return typed_select(read_text_csv(spark, paths, sep, multi_line), columns, types, na_tokens)
 
 
 def add_defaults(df: DataFrame, constants: Mapping[str, object] | None = None,
