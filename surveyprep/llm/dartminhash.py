@@ -11,8 +11,9 @@ about k ln k + 2k darts, however many shingles it has; if a coordinate got
 none the rank limit doubles.
 
 Equal texts (word sequences) are folded first. Documents that share a band
-are candidates; links are verified on the shingles themselves, inside the
-join, so that only links leave it.
+are candidates; links are verified on the shingles themselves. A crowded
+bucket is a grid of cells of bounded size, which tasks compare independently,
+and only links leave a cell.
 """
 
 from __future__ import annotations
@@ -29,6 +30,8 @@ from surveyprep.llm.common import Scratch, mix64, shingle_hashes, sized, word_ha
 from surveyprep.llm.graph import components
 
 _TAG = np.uint64(0x9E3779B97F4A7C15)
+#: Texts to a side of a cell, the part of a bucket that one step compares.
+CELL = 512
 
 
 def throw_darts(seed: np.ndarray, limit: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -122,14 +125,47 @@ def jaccard(one: str, two: str) -> Column:
     return both / (F.size(one) + F.size(two) - both)
 
 
-def agreement(one: str, two: str, longs: int) -> Column:
-    """In how many coordinates two signatures agree, by their eight bits each, seven coordinates to a long."""
-    def equal_bytes(i: int) -> str:
-        x = f"({one}[{i}] ^ {two}[{i}])"
-        # the high bit of each byte of t is set where the byte of x isn't zero
-        t = f"((({x} & {0x7F7F7F7F7F7F7F}L) + {0x7F7F7F7F7F7F7F}L) | {x})"
-        return f"(7 - bit_count({t} & {0x80808080808080}L))"
-    return F.expr(" + ".join(map(equal_bytes, range(longs))))
+def cells(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """The runs of rows with equal ``keys``, across batches of rows that are sorted by them."""
+    rest = None
+    for batch in batches:
+        t = pa.Table.from_batches([batch])
+        t = t if rest is None else pa.concat_tables([rest, t])
+        key = np.stack([t.column(c).to_numpy() for c in keys])
+        edge = [0, *(np.flatnonzero((key[:, 1:] != key[:, :-1]).any(axis=0)) + 1)]
+        for start, end in zip(edge, edge[1:]):
+            yield t.slice(start, end - start)
+        rest = t.slice(edge[-1])
+    if rest is not None and rest.num_rows:
+        yield rest
+
+
+def cell_links(t: pa.Table, least_equal: int, threshold: float) -> Iterator[tuple[int, np.ndarray]]:
+    """(row of the right side, rows of the left side that it links to) of one cell.
+
+    Compared are texts of different groups, in the first band that they
+    share; of two texts that both failed, only one order.
+    """
+    col = {c: t.column(c).to_numpy() for c in ("rep", "root", "right", "miss")}
+    wide = lambda c: t.column(c).combine_chunks().flatten().to_numpy().reshape(t.num_rows, -1)
+    bits, bands, band = np.ascontiguousarray(wide("bits")).view(np.uint8), wide("bands"), t.column("band")[0].as_py()
+    lists = t.column("units").combine_chunks()
+    at, values = lists.offsets.to_numpy(), lists.values.to_numpy()
+    size = np.diff(at)
+    left = np.flatnonzero(~col["right"])
+    for r in np.flatnonzero(col["right"]):
+        c = left[(col["root"][left] != col["root"][r]) & (~col["miss"][left] | (col["rep"][left] < col["rep"][r]))]
+        c = c[np.minimum(size[c], size[r]) >= threshold * np.maximum(size[c], size[r])]
+        c = c[(bits[c] == bits[r]).sum(axis=1) >= least_equal]
+        c = c[(bands[c] == bands[r]).argmax(axis=1) == band]
+        own = np.unique(values[at[r]:at[r + 1]])
+        for part in (c[i:i + 64] for i in range(0, len(c), 64)):
+            other = np.concatenate([values[at[x]:at[x + 1]] for x in part])
+            found = own[np.minimum(np.searchsorted(own, other), len(own) - 1)] == other
+            both = np.add.reduceat(found, np.cumsum(size[part]) - size[part], dtype=np.int64)
+            linked = part[both / (size[part] + size[r] - both) >= threshold]
+            if len(linked):
+                yield r, linked
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8,
@@ -175,22 +211,30 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     groups = components(first.where("ok").select("a", "b"), scratch, "cc1")
 
     # texts that failed against a bucket's head meet the bucket's other texts, unless one group holds both
-    rooted = scratch.cut(member.where("rep <> head").join(groups, F.col("rep") == F.col("v"), "left")
-                         .select("band", "key", "head", "rep", F.coalesce("root", "rep").alias("root")), "rooted")
-    failed = rooted.join(first.where("not ok").select(F.col("a").alias("fa"), F.col("b").alias("fb")),
-                         (F.col("head") == F.col("fa")) & (F.col("rep") == F.col("fb"))).select("band", "key", "rep", "root")
-    failed = scratch.cut(failed, "failed")
-    open_ = failed.select(F.col("band").alias("ob"), F.col("key").alias("ok")).distinct()
-    rest = rooted.join(open_, (F.col("band") == F.col("ob")) & (F.col("key") == F.col("ok")), "left_semi")
-    # a pair is met in the first band that it shares; a link agrees in so many coordinates but for one pair in 50,000
+    missed = first.where("not ok").select(F.col("a").alias("fa"), F.col("b").alias("fb"))
+    rooted = member.where("rep <> head").join(groups, F.col("rep") == F.col("v"), "left").join(missed, (F.col("head") == F.col("fa")) & (F.col("rep") == F.col("fb")), "left")
+    rooted = scratch.cut(rooted.select("band", "key", "rep", F.coalesce("root", "rep").alias("root"), F.col("fb").isNotNull().alias("miss")), "rooted")
+    # a bucket is a grid of cells of about CELL x CELL texts: its texts on the left, those that failed on the right
+    grid = rooted.groupBy("band", "key").agg(F.count("*").alias("m"), F.count_if("miss").alias("f")).where("f > 0 and m > 1") \
+        .select(F.col("band").alias("ob"), F.col("key").alias("ok"), F.ceil(F.col("m") / CELL).alias("across"), F.ceil(F.col("f") / CELL).alias("down"))
+    placed = rooted.join(scratch.cut(grid, "grid"), (F.col("band") == F.col("ob")) & (F.col("key") == F.col("ok")))
+    placed = placed.withColumn("i", F.expr("pmod(xxhash64(rep), across)")).withColumn("j", F.expr("pmod(xxhash64(rep, 1), down)"))
+    own = ["band", "key", "rep", "root", "miss"]
+    left = placed.select(*own, F.lit(False).alias("right"), "i", F.explode(F.expr("sequence(0L, down - 1)")).alias("j"))
+    right = placed.where("miss").select(*own, F.lit(True).alias("right"), F.explode(F.expr("sequence(0L, across - 1)")).alias("i"), "j")
+    dealt = left.unionByName(right).join(units, "rep").repartition("band", "key", "i", "j").sortWithinPartitions("band", "key", "i", "j")
+    # a link agrees in so many coordinates but for one pair in 50,000; the signatures' filling bytes are always equal
     least_agree = int(k * threshold - 4.1 * (k * threshold * (1 - threshold)) ** 0.5)
-    left = rest.join(units, "rep").select("band", "key", *[F.col(c).alias(f"a_{c}") for c in ("rep", "root", "bands", "bits", "units")])
-    right = failed.join(units, "rep").select(F.col("band").alias("fb"), F.col("key").alias("fk"), *[F.col(c).alias(f"b_{c}") for c in ("rep", "root", "bands", "bits", "units")])
-    meet = ((F.col("band") == F.col("fb")) & (F.col("key") == F.col("fk")) & (F.col("a_root") != F.col("b_root"))
-            & (agreement("a_bits", "b_bits", -(-k // 7)) >= least_agree + (-k) % 7)
-            & F.expr("array_position(zip_with(a_bands, b_bands, (x, y) -> x = y), true) = band + 1")
-            & (jaccard("a_units", "b_units") >= threshold))
-    second = left.join(right, meet).select(F.least("a_rep", "b_rep").alias("a"), F.greatest("a_rep", "b_rep").alias("b")).distinct()
+    filling = -(-k // 7) * 8 - k
+    pair = T.StructType([T.StructField("a", docs.schema[id_col].dataType), T.StructField("b", docs.schema[id_col].dataType)])
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in cells(batches, ["band", "key", "i", "j"]):
+            rep = t.column("rep").combine_chunks()
+            for r, linked in cell_links(t, least_agree + filling, threshold):
+                yield pa.RecordBatch.from_arrays([rep.take(pa.array(linked)), rep.take(pa.array(np.full(len(linked), r)))], names=["a", "b"])
+
+    second = dealt.mapInArrow(meet, pair).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     second = scratch.cut(second, "second")
     links = first.where("ok").select("a", "b").union(second)
     links = scratch.cut(links.distinct(), "links")
@@ -200,7 +244,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     text_class = folded.join(groups, F.col("rep") == F.col("v"), "left").join(degree, F.col("rep") == F.col("d"), "left") \
         .select(F.col("w1").alias("c1"), F.col("w2").alias("c2"), F.coalesce("root", "rep").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
     text_class = scratch.cut(text_class, "classes")
-    scratch.drop("member", "near", "units", "rooted", "failed", "first", "second", "folded")
+    scratch.drop("member", "near", "units", "rooted", "grid", "first", "second", "folded")
     out = s.select("doc_id", "w1", "w2", (F.size("bands") > 0).alias("worded"))
     joined = out.join(text_class, F.col("worded") & (F.col("w1") == F.col("c1")) & (F.col("w2") == F.col("c2")), "left")
     return joined.select("doc_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("class_id", "doc_id")).alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")) \
