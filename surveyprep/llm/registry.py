@@ -9,7 +9,7 @@ from surveyprep.llm import mixing, vafile, warc
 from surveyprep.llm.common import table
 from surveyprep.llm.dartminhash import near_duplicates
 from surveyprep.llm.decision_list import judge
-from surveyprep.llm.fuzzy_lines import dedup_lines
+from surveyprep.llm.fuzzy_lines import dedup_lines, similar_lines
 from surveyprep.llm.license_scan import licences
 from surveyprep.llm.lpf import remove_repeats
 from surveyprep.llm.packing import harmonic_pack
@@ -69,7 +69,7 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_removed", "text")
+    return dedup_lines(table(spark, sf_dir, "documents"), find=similar_lines).select("doc_id", "n_lines", "n_removed", "text")
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
