@@ -1,10 +1,10 @@
 """Licence scan: sparse TF-IDF cosine to templates, then inheritance down the directories.
 
-A file's headers are its lines, a licence
+A file's headers are its lines and its windows of several lines, a licence
 file is one whose whole text is close to a template or is made of such lines
 for its greater part. Document frequencies are counted over all lines of all
 files, for every word. Two passes keep the words' table off the driver: spans
-(lines, whole texts) that could reach the threshold if each rare word
+(lines, windows, whole texts) that could reach the threshold if each rare word
 had the least weight a rare word can have are written with their rare words,
 and these get their true weights by a join. A file without a licence of its
 own takes the one of its nearest ancestor directory that holds a licence file.
@@ -14,6 +14,8 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from importlib.resources import files as resources
+from json import loads
 from math import log, sqrt
 
 import numpy as np
@@ -37,8 +39,10 @@ TEMPLATES = [
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
 ]
+#: Full texts and standard headers of the usual licences.
+TEMPLATES += [(name, text) for name, text in loads((resources("surveyprep") / "data" / "licences.json").read_text("utf-8"))["templates"]]
 #: Lines of a window; lines without a word don't count.
-WINDOWS = ()
+WINDOWS = (2, 3, 4, 6, 8, 12, 16, 24, 32)
 #: Words in at least one of so many lines have their frequencies on the driver: at most RARE times the words of an average line.
 RARE = 1000
 EDGES = ".,;:!?\"'()[]{}<>*#/"
