@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from surveyprep.llm import mixing, run_finder, vafile, warc
+from surveyprep.llm import mixing, run_finder, vafile, vantage, warc
 from surveyprep.llm.common import table
 from surveyprep.llm.dartminhash import near_duplicates
 from surveyprep.llm.decision_list import judge
@@ -76,6 +76,10 @@ def op12_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_finder.run_digests(run_finder.find_runs(run_finder.periodic_tails(table(spark, sf_dir, "documents"))))
 
 
+def op13_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vantage.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline  # at the repository's top; it imports this subpackage
 
@@ -83,6 +87,6 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_packing, op2_repeats, op5_licences, op4_near_duplicates, op6_mixing, op7_quality_rules, op3_top_k, op8_url_filter,
-                                 op9_warc, op10_line_dedup, op12_runs)}
+                                 op9_warc, op10_line_dedup, op12_runs, op13_neighbours)}
 QUERIES["pipeline"] = pipeline
 ORACLE = {"op3_top_k": vafile.OP3_SQL, "op6_mixing": mixing.OP6_SQL}
