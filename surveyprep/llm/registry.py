@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from surveyprep.llm import mixing, run_finder, vafile, vantage, warc
+from surveyprep.llm import lexical, mixing, run_finder, vafile, vantage, warc
 from surveyprep.llm.common import table
 from surveyprep.llm.dartminhash import near_duplicates
 from surveyprep.llm.decision_list import judge
@@ -72,6 +72,10 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(table(spark, sf_dir, "documents"), find=similar_lines).select("doc_id", "n_lines", "n_removed", "text")
 
 
+def op11_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op12_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_finder.run_digests(run_finder.find_runs(run_finder.periodic_tails(table(spark, sf_dir, "documents"))))
 
@@ -87,6 +91,6 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_packing, op2_repeats, op5_licences, op4_near_duplicates, op6_mixing, op7_quality_rules, op3_top_k, op8_url_filter,
-                                 op9_warc, op10_line_dedup, op12_runs, op13_neighbours)}
+                                 op9_warc, op10_line_dedup, op11_lexical, op12_runs, op13_neighbours)}
 QUERIES["pipeline"] = pipeline
-ORACLE = {"op3_top_k": vafile.OP3_SQL, "op6_mixing": mixing.OP6_SQL}
+ORACLE = {"op3_top_k": vafile.OP3_SQL, "op6_mixing": mixing.OP6_SQL, "op11_lexical": lexical.OP11_SQL}
