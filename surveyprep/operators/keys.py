@@ -13,15 +13,26 @@ Two forms of each numbering:
   partition count) into offsets, and number rows locally. No task ever
   holds more than its own range partition.
 
-Dense rank = the ranged numbering over the *distinct* keys, joined back.
-A row whose key has a null part gets 0 (pandas ``ngroup() + 1`` of a
-null group).
+Dense rank = each range numbers the keys it meets as its sorted rows stream
+past, and ranges that share a key at their border are stitched by a scan over
+one row per range. A row whose key has a null part gets 0 (pandas
+``ngroup() + 1`` of a null group). Comparing a row with the one before it in
+its partition is what built-in functions can't do without another exchange, so
+that step takes Arrow batches.
+
+Load order = the place of a row in its file and of the file among the sources.
 """
 
 from __future__ import annotations
 
+import functools
+import operator
+from collections.abc import Callable, Iterator
 from typing import Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -84,18 +95,106 @@ def dense_key(df: DataFrame, keys: Sequence[str] | str, name: str, method: str =
     Rows with any null key part get ``null_key`` (0); they are not ranked.
     """
     keys = _cols(keys)
-    anynull = None
-    for k in keys:
-        anynull = F.col(k).isNull() if anynull is None else (anynull | F.col(k).isNull())
-    if method == "window":
-        w = Window.partitionBy(anynull).orderBy(*keys)
-        return df.withColumn(name, F.when(anynull, F.lit(null_key).cast("bigint"))
-                             .otherwise(F.dense_rank().over(w).cast("bigint")))
-    # distinct keys are pre-aggregated map-side, so a hot key costs one row
-    distinct = df.select(*keys).where(~anynull).distinct()
-    numbered = ranged_row_number(distinct, keys, name, start=1, num_partitions=num_partitions)
-    out = df.join(numbered, keys, "left")
-    return out.withColumn(name, F.coalesce(F.col(name), F.lit(null_key).cast("bigint")))
+    if method != "window":
+        return carried_dense_key(df, keys, name, num_partitions, null_key)
+    anynull = _any_null(keys)
+    w = Window.partitionBy(anynull).orderBy(*keys)
+    return df.withColumn(name, F.when(anynull, F.lit(null_key).cast("bigint")).otherwise(F.dense_rank().over(w).cast("bigint")))
+
+
+def _any_null(keys: Sequence[str]) -> Column:
+    return functools.reduce(operator.or_, (F.col(k).isNull() for k in keys))
+
+
+def _number_keys(n_keys: int, width: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Dense numbers of one sorted range, from its rows in order: 0 with a null key part, else from 1.
+
+    The last ``n_keys`` columns are the keys; ``width`` columns go on, with the range's
+    number (the column before the keys) among them, and the dense number is added.
+    """
+    def differs(column: pa.Array, last) -> np.ndarray:
+        if not len(column):
+            return np.zeros(0, bool)
+        inner = pc.not_equal(column.slice(1), column.slice(0, len(column) - 1)).fill_null(True).to_numpy(zero_copy_only=False)
+        return np.concatenate([[last is None or not last.equals(column[0])], inner])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, last = 0, [None] * n_keys
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = batch.columns[-n_keys:]
+            known = np.logical_and.reduce([np.asarray(c.is_valid()) for c in keys])
+            rows = np.flatnonzero(known)
+            out = np.zeros(batch.num_rows, np.int64)
+            if len(rows):
+                keys = [c.take(pa.array(rows)) for c in keys]
+                out[rows] = number + np.cumsum(np.logical_or.reduce([differs(c, v) for c, v in zip(keys, last)]))
+                number, last = int(out[rows[-1]]), [c[len(c) - 1] for c in keys]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:width], pa.array(out)], names=[*batch.schema.names[:width], "__dense"])
+    return run
+
+
+def carried_dense_key(df: DataFrame, keys: Sequence[str], name: str, num_partitions: int | None = None, null_key: int = 0) -> DataFrame:
+    """Dense group numbers with one range exchange: no distinct copy of the keys, no join back.
+
+    Rows are ranged by (keys, a hash of the row), so the rows of a frequent
+    key spread over several ranges. Each range numbers the keys it meets, in
+    order, as the rows stream past. What crosses to one task is one row per
+    range: how many keys it met, its first and its last one. A running sum of
+    the counts, less one for each range that begins with the key the range
+    before it ended with, is what a range adds to its own numbers.
+    """
+    keys, fields = _cols(keys), df.columns
+    ensure_checkpoint_dir(df.sparkSession)
+    hashable = [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    order = [*[F.col(k).asc_nulls_first() for k in keys], F.col("__tie")]
+    ranged = df.withColumn("__tie", F.xxhash64(*hashable)).repartitionByRange(_num_partitions(df, num_partitions), *order).sortWithinPartitions(*order)
+    # a range's first and last keys are read again from the key copies, so they come last
+    # (floats as text of one zero and one NaN, as grouping sees them)
+    copies = [(F.col(k) + F.lit(0.0)).cast("string") if isinstance(df.schema[k].dataType, (T.FloatType, T.DoubleType)) else F.col(k) for k in keys]
+    ranged = ranged.select(*fields, F.spark_partition_id().alias("__range"), *[c.alias(f"__k{i}") for i, c in enumerate(copies)])
+    schema = T.StructType([*df.schema.fields, T.StructField("__range", T.IntegerType()), T.StructField("__dense", T.LongType())])
+    # written once: the sampled ranges must not be drawn anew after the loss of an executor
+    numbered = ranged.mapInArrow(_number_keys(len(keys), len(fields) + 1), schema).checkpoint()
+    met = numbered.where(F.col("__dense") > 0).groupBy("__range").agg(
+        F.max("__dense").alias("n"), F.min(F.struct(*keys)).alias("head"), F.max(F.struct(*keys)).alias("tail"))
+    w = Window.orderBy("__range")
+    shared = F.coalesce((F.lag("tail").over(w) == F.col("head")).cast("long"), F.lit(0))
+    before = met.select("__range", "n", shared.alias("shared")).select(
+        "__range", (F.sum("n").over(w) - F.col("n") - F.sum("shared").over(w)).alias("__before"))
+    out = numbered.join(F.broadcast(before), "__range", "left")  # a row for each range
+    return out.select(*fields, F.when(F.col("__dense") > 0, F.col("__dense") + F.col("__before")).otherwise(F.lit(null_key)).cast("bigint").alias(name))
+
+
+def load_order_key(sources: Sequence[DataFrame], name: str, start: int = 0) -> DataFrame:
+    """WIN3: the rows of ``sources`` (frames straight from a file read), numbered in load order.
+
+    The order is that of the sources, then of the files by path, then of the
+    rows in a file: no sort and no sampling. The file, the start of the block
+    a row was read from and the row's place in its block come from the read
+    itself; the counts per block, summed up in order, are all that crosses to
+    one task. Parquet files know a row's place in the file. Sources are put
+    together by column name; a column that one lacks is null there.
+    """
+    spark = sources[0].sparkSession
+    ensure_checkpoint_dir(spark)
+    parts = []
+    for i, source in enumerate(sources):
+        known = source.select("_metadata").schema["_metadata"].dataType.names
+        block, at = ("0L", F.col("_metadata.row_index")) if "row_index" in known else ("_metadata.file_block_start", F.monotonically_increasing_id())
+        place = source.select("*", F.lit(i).alias("__source"), F.col("_metadata.file_path").alias("__file"), F.expr(block).alias("__block"), at.alias("__place"))
+        parts.append(place)
+    rows = functools.reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    fields = [c for c in rows.columns if c not in ("__source", "__file", "__block", "__place")]
+    # written once, so that places and counts come from the same read
+    rows = rows.checkpoint()
+    block = ["__source", "__file", "__block"]
+    counts = rows.groupBy(*block).agg(F.count("*").alias("__n"), F.min("__place").alias("__first"))
+    w = Window.orderBy(*block)
+    before = counts.select(*block, "__first", (F.sum("__n").over(w) - F.col("__n")).alias("__before"))  # a row for each block
+    out = rows.join(before, block)
+    return out.select(*fields, (F.col("__before") + F.col("__place") - F.col("__first") + start).cast("bigint").alias(name))
 
 
 def add_sentinel(df: DataFrame, values: dict) -> DataFrame:

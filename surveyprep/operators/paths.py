@@ -5,73 +5,57 @@ vertex is dropped, keeping its first occurrence; 2+ distinct vertices give
 ``LINESTRING (...)``, one gives ``POINT (...)``; a trip with a
 non-finite coordinate gets a null shape.
 
-Scale design (no unbounded group is ever collected into one task):
-1. every ping gets its global position in (trip, time, tie) order with
-   the ranged numbering (no single-task window);
-2. first occurrences: ``min(position)`` per (trip, lng, lat), partially
-   aggregated map-side, so a device parked on one spot costs one row;
-3. vertices are formatted and concatenated in chunks of at most
-   ``chunk`` consecutive positions per (trip, chunk) group;
-4. the chunk texts (``n / chunk`` per trip) are concatenated per trip.
-Only the final text of a trip, which *is* the output value, sits in one row.
+Scale design: no numbering of the pings, no sort of the table, no checkpoint.
+1. first occurrences: the least (time, tie-break) per (trip, lng, lat),
+   partially aggregated map-side, so a device parked on one spot costs one row;
+2. segments: the first occurrences of a trip in one stretch of time, sorted
+   and joined to a text, per (trip, stretch);
+3. a trip's segments, of which no vertex is in two, joined in the order of
+   their stretches.
+A segment holds what one stretch holds; only the final text of a trip, which
+*is* the output value, sits in one row.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from surveyprep.functions.geo import CA_ZONE6_FT, LambertConic, finite, vertex_text
-from surveyprep.operators.keys import row_key
 
-CHUNK = 4096
+#: Length of a stretch: seconds for times, units for numbers.
+STRETCH = 3600
 
 
-def path_lines(points: DataFrame, trip: str, order: list[str], lng: str, lat: str,
-               out: str = "shape", decimals: int = 3, crs: LambertConic = CA_ZONE6_FT,
-               position: str | None = None, chunk: int = CHUNK, method: str = "ranged") -> DataFrame:
-    """(trip, out) for every trip in ``points``.
-
-    ``position`` names an existing global row number in (trip, *order)
-    order (e.g. a point id); otherwise one is computed.
-    """
-    pos = position or "__pos"
-    p = points.select(trip, lng, lat, *order, *([position] if position else []))
-    if not position:
-        p = row_key(p, [trip, *order], pos, method=method)
-    first = p.groupBy(trip, lng, lat).agg(F.min(pos).alias(pos))
-    first = first.withColumn("__txt", vertex_text(lng, lat, decimals, crs)) \
-                 .withColumn("__chunk", F.floor(F.col(pos) / F.lit(chunk)))
-    parts = first.groupBy(trip, "__chunk").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(F.col(pos), F.col("__txt")))),
-                                 lambda s: s["__txt"]), ", ").alias("__part"),
-        F.count(F.lit(1)).alias("__n"),
-        F.max(F.when(~(finite(lng) & finite(lat)), 1).otherwise(0)).alias("__bad"))
-    lines = parts.groupBy(trip).agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("__chunk", "__part"))),
-                                 lambda s: s["__part"]), ", ").alias("__all"),
-        F.sum("__n").alias("__n"), F.max("__bad").alias("__bad"))
-    shape = (F.when(F.col("__bad") == 1, F.lit(None).cast("string"))
-             .when(F.col("__n") >= 2, F.concat(F.lit("LINESTRING ("), F.col("__all"), F.lit(")")))
-             .when(F.col("__n") == 1, F.concat(F.lit("POINT ("), F.col("__all"), F.lit(")"))))
-    return lines.select(F.col(trip), shape.alias(out))
+def stretch_of(df: DataFrame, first: str, length: float) -> Column:
+    """The stretch of a row by its first order column: rises with it; one stretch if it is neither time nor number."""
+    kind = df.schema[first].dataType
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        return F.floor(F.unix_timestamp(F.col(first).cast("timestamp")) / F.lit(length))
+    if isinstance(kind, T.NumericType):
+        return F.floor(F.col(first).cast("double") / F.lit(length))
+    return F.lit(0).cast("long")
 
 
-def path_lines_small(points: DataFrame, trip: str, order: list[str], lng: str, lat: str,
-                     out: str = "shape", decimals: int = 3, crs: LambertConic = CA_ZONE6_FT) -> DataFrame:
-    """Single-aggregate form (``array_sort(collect_list)`` + ``array_distinct``).
-
-    Correct and one shuffle, but gathers a whole trip in one group: use
-    only when a trip's ping count is known to be small.
-    """
-    s = F.array_sort(F.collect_list(F.struct(*[F.col(c) for c in order], F.col(lng).alias("lng"),
-                                             F.col(lat).alias("lat"))))
-    g = points.groupBy(trip).agg(s.alias("__p"))
-    verts = F.array_distinct(F.transform(F.col("__p"), lambda r: F.struct(r["lng"].alias("lng"), r["lat"].alias("lat"))))
-    g = g.withColumn("__v", verts)
-    bad = F.exists(F.col("__v"), lambda v: ~(finite(v["lng"]) & finite(v["lat"])))
-    txt = F.array_join(F.transform(F.col("__v"), lambda v: vertex_text(v["lng"], v["lat"], decimals, crs)), ", ")
-    shape = (F.when(bad, F.lit(None).cast("string"))
-             .when(F.size("__v") >= 2, F.concat(F.lit("LINESTRING ("), txt, F.lit(")")))
-             .when(F.size("__v") == 1, F.concat(F.lit("POINT ("), txt, F.lit(")"))))
-    return g.select(F.col(trip), shape.alias(out))
+def path_lines(points: DataFrame, trip: str, order: list[str], lng: str, lat: str,
+               out: str = "shape", decimals: int = 3, crs: LambertConic = CA_ZONE6_FT, stretch: float = STRETCH) -> DataFrame:
+    """(trip, out) for every trip in ``points``; ``order`` puts a trip's pings in order."""
+    p = points.select(F.col(trip).alias("__trip"), F.col(lng).alias("__lng"), F.col(lat).alias("__lat"),
+                      F.struct(*[F.col(c) for c in order]).alias("__at"), stretch_of(points, order[0], stretch).alias("__stretch"))
+    # the first occurrence has the least stretch, as stretches rise with the order
+    first = p.groupBy("__trip", "__lng", "__lat").agg(F.min(F.struct("__stretch", "__at")).alias("__first"))
+    vertices = first.select("__trip", F.col("__first.__stretch").alias("__stretch"), F.struct(
+        F.col("__first.__at").alias("at"), F.col("__lng").alias("lng"), F.col("__lat").alias("lat"), vertex_text("__lng", "__lat", decimals, crs).alias("text")).alias("__v"),
+        (~(finite("__lng") & finite("__lat"))).alias("__bad"))
+
+    def joined(parts: str) -> Column:
+        return F.array_join(F.transform(F.array_sort(F.collect_list(parts)), lambda s: s["text"]), ", ")
+
+    segments = vertices.groupBy("__trip", "__stretch").agg(joined("__v").alias("text"), F.count("*").alias("n"), F.max("__bad").alias("bad"))
+    lines = segments.withColumn("part", F.struct("__stretch", "text")).groupBy("__trip").agg(
+        joined("part").alias("text"), F.sum("n").alias("n"), F.max("bad").alias("bad"))
+    shape = (F.when(F.col("bad"), F.lit(None).cast("string"))
+             .when(F.col("n") >= 2, F.concat(F.lit("LINESTRING ("), F.col("text"), F.lit(")")))
+             .otherwise(F.concat(F.lit("POINT ("), F.col("text"), F.lit(")"))))
+    return lines.select(F.col("__trip").alias(trip), shape.alias(out))

@@ -12,15 +12,19 @@ from surveyprep.functions.predicates import is_in, ne
 
 
 def wide_to_long(df: DataFrame, stubs: Sequence[str], i: Sequence[str] | str, j: str,
-                 suffixes: Iterable, sep: str = "_") -> DataFrame:
+                 suffixes: Iterable, sep: str = "_", validate: bool = False) -> DataFrame:
     """Multi-stub wide -> long (RSH1).
 
     ``stub{sep}{k}`` columns for every suffix ``k`` become one row per
     (``i``, ``j`` = k) carrying one column per stub. Row-local: an
     ``inline`` of an array of structs inside the scan's projection, no
-    shuffle.
+    shuffle. ``validate`` first counts the rows per ``i`` and raises a
+    ValueError if one repeats; without it, rows that share ``i`` are kept
+    apart by nothing but their values.
     """
     ids = [i] if isinstance(i, str) else list(i)
+    if validate and df.groupBy(*ids).count().where("count > 1").select(*ids).take(1):
+        raise ValueError(f"the rows of {', '.join(ids)} are not unique")
     suffixes = list(suffixes)
     items = [F.struct(F.lit(k).alias(j), *[F.col(f"{s}{sep}{k}").alias(s) for s in stubs])
              for k in suffixes]

@@ -1,198 +1,75 @@
-"""GEO4 / JON1-4: point-in-zone lookup as a grid equi-join.
+"""GEO4 / JON1-4: point-in-zone lookup by the adaptive zone index.
 
-1. Zones (id, WKT) are parsed into rings (GEO5) and their bounding boxes.
-2. Each zone is exploded into the grid cells its closed bbox covers.
-3. Points are de-duplicated to distinct coordinate pairs first, so a hot
-   coordinate costs one row; each pair computes its one cell with
-   ``floor`` (no explode on the big side).
-4. Equi-join on the cell id, then refine exactly: the point is on a ring
-   edge, or an odd number of ring edges cross the ray to its right
-   (even-odd parity over all rings handles holes and multi-part zones).
-5. ``min(zone_id)`` per pair breaks ties on shared edges (lowest zone).
-6. The lookup is left-joined back on the coordinate pair; null or
-   non-finite coordinates never match and keep a null zone.
+Each point computes its one cell (no explode on the big side) and meets the
+cell's index row by an equi-join; ``zone_index.lowest_zone`` then looks at the
+edges of the point's part of the cell alone. Boundaries belong to their zones,
+the lowest id wins, null and non-finite coordinates have no zone.
 
-Two physical forms, chosen by the zones' vertex count (one aggregate):
-
-* **broadcast index** (zones small enough): the zone cells are grouped
-  into one candidate array per grid cell (bounded by the number of zones
-  overlapping a cell, not by the data), broadcast, and every point row
-  finds its cell with a hash probe; the refine is a ``filter`` over the
-  candidates and the lowest id an ``array_min``. One output row per input
-  row, no shuffle of the point side, so hot coordinates cost nothing.
-* **shuffle join** (zones too large to broadcast): the steps above, with
-  both sides hash-partitioned on the cell id (AQE splits a hot cell).
+The index is broadcast if what would be broadcast, measured on the written
+index, is under ``BROADCAST_BYTES``: no shuffle of the points, hot coordinates
+cost nothing, one output row per input row. Beyond that the distinct coordinate
+pairs are joined to it by their cell (AQE splits a hot cell) and joined back.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from surveyprep.functions.geo import finite, wkt_rings
+from surveyprep.functions.geo import finite
+from surveyprep.operators.zone_index import Grid, build_index, lowest_zone, point_part
 from surveyprep.session import widen
 
-# Broadcast the zone cells only below this many vertices in total
-# (~16 bytes per vertex plus per-cell copies).
-BROADCAST_VERTICES = 2_000_000
-
-
-def zone_cells(zones: DataFrame, id_col: str, wkt_col: str, cell: float) -> DataFrame:
-    """(cx, cy, zone_id, rings) for every grid cell a zone's bbox touches."""
-    z = zones.select(F.col(id_col).alias("zone_id"), wkt_rings(F.col(wkt_col)).alias("rings"))
-    pts = F.flatten(F.col("rings"))
-    z = z.withColumns({
-        "minx": F.array_min(F.transform(pts, lambda p: p["x"])),
-        "maxx": F.array_max(F.transform(pts, lambda p: p["x"])),
-        "miny": F.array_min(F.transform(pts, lambda p: p["y"])),
-        "maxy": F.array_max(F.transform(pts, lambda p: p["y"])),
-    })
-    c = F.lit(float(cell))
-    z = z.withColumn("rings", ring_segments(F.col("rings")))
-    return (z.withColumn("cx", F.explode(F.sequence(F.floor(F.col("minx") / c), F.floor(F.col("maxx") / c))))
-             .withColumn("cy", F.explode(F.sequence(F.floor(F.col("miny") / c), F.floor(F.col("maxy") / c))))
-             .select("cx", "cy", "zone_id", "rings", "minx", "maxx", "miny", "maxy"))
-
-
-def ring_segments(rings: Column) -> Column:
-    """Flat array<struct<ax, ay, bx, by>> of every ring edge, built once per zone."""
-    def segs(r):
-        return F.transform(F.sequence(F.lit(1), F.size(r) - 1), lambda i: F.struct(
-            F.element_at(r, i)["x"].alias("ax"), F.element_at(r, i)["y"].alias("ay"),
-            F.element_at(r, i + 1)["x"].alias("bx"), F.element_at(r, i + 1)["y"].alias("by")))
-    return F.flatten(F.transform(rings, segs))
-
-
-def _covers(segs: Column, x: Column, y: Column, eps: float) -> Column:
-    """Boundary-inclusive even-odd point-in-polygon over precomputed edges
-    (all rings of the zone; holes and parts need no special case)."""
-    def on_edge(s):
-        ax, ay, bx, by = s["ax"], s["ay"], s["bx"], s["by"]
-        cross = (bx - ax) * (y - ay) - (by - ay) * (x - ax)
-        return ((F.abs(cross) <= F.lit(eps) * (F.abs(bx - ax) + F.abs(by - ay) + F.lit(1.0)))
-                & (x >= F.least(ax, bx) - eps) & (x <= F.greatest(ax, bx) + eps)
-                & (y >= F.least(ay, by) - eps) & (y <= F.greatest(ay, by) + eps))
-
-    def crosses(s):
-        ax, ay, bx, by = s["ax"], s["ay"], s["bx"], s["by"]
-        return ((ay > y) != (by > y)) & (x < (bx - ax) * (y - ay) / (by - ay) + ax)
+#: Largest index, in bytes, that is sent to every executor.
+BROADCAST_BYTES = 128 << 20
 
-    return F.exists(segs, on_edge) | (F.size(F.filter(segs, crosses)) % 2 == 1)
-
-
-def auto_cell_size(zones: DataFrame, wkt_col: str) -> float:
-    """Median zone bbox side (one aggregate; a scalar comes back)."""
-    pts = F.flatten(wkt_rings(F.col(wkt_col)))
-    w = F.array_max(F.transform(pts, lambda p: p["x"])) - F.array_min(F.transform(pts, lambda p: p["x"]))
-    h = F.array_max(F.transform(pts, lambda p: p["y"])) - F.array_min(F.transform(pts, lambda p: p["y"]))
-    v = zones.select(F.percentile_approx(F.greatest(w, h), 0.5).alias("m")).first()["m"]
-    return float(v) if v and v > 0 else 1.0
 
+def _with_zones(df: DataFrame, points: list, index: DataFrame, g: Grid, zone_type: str, small: bool) -> DataFrame:
+    """``df`` with the zone of each (x, y, out): one join per point on its cell, then one projection for all cells' parts and one for all zones."""
+    cells, keys, parts, found, temp = {}, {}, {}, {}, []
+    for i, (x, y, out) in enumerate(points):
+        ok, px, py = finite(x) & finite(y), f"__x{i}", f"__y{i}"
+        xc, yc = F.col(x).cast("double"), F.col(y).cast("double")
+        cells |= {px: F.when(ok, xc), py: F.when(ok, yc)}
+        keys |= {f"__c{axis}{i}": F.expr(g.cell(f"__{axis}{i}", axis)) for axis in "xy"}
+        parts[f"__part{i}"] = point_part(g, f"__cx{i}", f"__cy{i}", f"__depth{i}", f"__parts{i}", px, py)
+        found[out] = lowest_zone(g, f"__part{i}", px, py).cast(zone_type)
+        temp += [f"__{n}{i}" for n in ("x", "y", "cx", "cy", "depth", "parts", "part")]
+    out = df.withColumns(cells).withColumns(keys)
+    for i in range(len(points)):
+        side = index.select(*[F.col(n).alias(f"__{n}{i}") for n in ("cx", "cy", "depth", "parts")])
+        out = out.join(F.broadcast(side) if small else side, [f"__cx{i}", f"__cy{i}"], "left")
+    return out.withColumns(parts).withColumns(found).drop(*temp)
 
-def zone_vertex_count(zones: DataFrame, wkt_col: str) -> int:
-    n = zones.select(F.sum(F.size(F.flatten(wkt_rings(F.col(wkt_col))))).alias("n")).first()["n"]
-    return int(n or 0)
 
+def attach_zones(df: DataFrame, points: list, zones: DataFrame, id_col: str = "zone_id", wkt_col: str = "wkt",
+                 cell: float | None = None, zone_type: str = "short", eps: float = 1e-9,
+                 force_shuffle: bool = False, widen_input: bool = False, part_edges: int | None = None) -> DataFrame:
+    """Attach the lowest zone that holds the point for each ``(x, y, out)`` in ``points``.
 
-def lookup_pairs(pairs: DataFrame, x: str, y: str, zones: DataFrame, id_col: str = "zone_id",
-                 wkt_col: str = "wkt", cell: float | None = None, eps: float = 1e-9,
-                 broadcast: bool | None = None) -> DataFrame:
-    """Distinct (x, y) pairs -> (x, y, zone) for pairs inside some zone."""
-    if cell is None:
-        cell = auto_cell_size(zones, wkt_col)
-    if broadcast is None:
-        broadcast = zone_vertex_count(zones, wkt_col) <= BROADCAST_VERTICES
-    cells = zone_cells(zones, id_col, wkt_col, cell)
-    if broadcast:
-        cells = F.broadcast(cells)
-    c = F.lit(float(cell))
-    p = pairs.select(F.col(x).alias("__x"), F.col(y).alias("__y")) \
-             .withColumns({"cx": F.floor(F.col("__x") / c), "cy": F.floor(F.col("__y") / c)})
-    j = p.join(cells, ["cx", "cy"])
-    j = j.where((F.col("__x") >= F.col("minx")) & (F.col("__x") <= F.col("maxx"))
-                & (F.col("__y") >= F.col("miny")) & (F.col("__y") <= F.col("maxy")))
-    j = j.where(_covers(F.col("rings"), F.col("__x"), F.col("__y"), eps))
-    return j.groupBy("__x", "__y").agg(F.min("zone_id").alias("__zone"))
+    The index is built once. ``cell`` sets the side of its cells; by default
+    it follows from the number of edges. ``force_shuffle`` takes the shuffled
+    form at any size.
+    """
+    index, g, size = build_index(zones, id_col, wkt_col, cell, eps, **({"part_edges": part_edges} if part_edges else {}))
+    small = size <= BROADCAST_BYTES and not force_shuffle
+    if small:
+        # the exact test is CPU-bound per row: spread a small input over the cores
+        return _with_zones(widen(df) if widen_input else df, points, index, g, zone_type, True)
+    out = df
+    for x, y, name in points:
+        pairs = out.where(finite(x) & finite(y)).select(F.col(x).cast("double").alias("__px"), F.col(y).cast("double").alias("__py")).distinct()
+        found = _with_zones(pairs, [("__px", "__py", "__zone")], index, g, zone_type, False).where(F.col("__zone").isNotNull())
+        out = out.join(found, (F.col(x).cast("double") == F.col("__px")) & (F.col(y).cast("double") == F.col("__py")), "left")
+        out = out.withColumn(name, F.col("__zone")).drop("__px", "__py", "__zone")
+    return out
 
 
 def zone_lookup(df: DataFrame, x: str, y: str, zones: DataFrame, out: str,
                 id_col: str = "zone_id", wkt_col: str = "wkt", cell: float | None = None,
                 zone_type: str = "short", eps: float = 1e-9, broadcast: bool | None = None) -> DataFrame:
-    """Attach the lowest containing zone id of point (x, y) as ``out`` (JON1-4).
+    """Attach the lowest zone that holds point (x, y) as ``out`` (JON1-4).
 
-    ``broadcast=None`` picks the broadcast-index form when the zones are
-    small enough; ``False`` forces the shuffle join over distinct pairs.
+    ``broadcast=False`` forces the shuffled form over distinct pairs.
     """
-    if broadcast is not False:
-        return attach_zones(df, [(x, y, out)], zones, id_col, wkt_col, cell, zone_type, eps,
-                            force_shuffle=False, widen_input=True)
-    valid = finite(x) & finite(y)
-    pairs = df.where(valid).select(F.col(x).cast("double").alias(x), F.col(y).cast("double").alias(y)).distinct()
-    found = lookup_pairs(pairs, x, y, zones, id_col, wkt_col, cell, eps, broadcast=False)
-    joined = df.join(found, (F.col(x).cast("double") == F.col("__x")) & (F.col(y).cast("double") == F.col("__y")), "left")
-    return joined.withColumn(out, F.col("__zone").cast(zone_type)).drop("__x", "__y", "__zone")
-
-
-def zone_stats(zones: DataFrame, wkt_col: str) -> tuple[float, int]:
-    """(median bbox side, total vertex count) of the zones in one aggregate."""
-    pts = F.flatten(wkt_rings(F.col(wkt_col)))
-    xs, ys = F.transform(pts, lambda p: p["x"]), F.transform(pts, lambda p: p["y"])
-    side = F.greatest(F.array_max(xs) - F.array_min(xs), F.array_max(ys) - F.array_min(ys))
-    r = zones.select(F.percentile_approx(side, 0.5).alias("m"), F.sum(F.size(pts)).alias("n")).first()
-    m = float(r["m"]) if r["m"] else 0.0
-    return (m if m > 0 else 1.0), int(r["n"] or 0)
-
-
-def zone_index(zones: DataFrame, id_col: str = "zone_id", wkt_col: str = "wkt", cell: float | None = None):
-    """(index, cell, broadcastable): candidate zones per grid cell, sorted by id."""
-    auto_cell, n_vertices = zone_stats(zones, wkt_col)
-    cell = cell or auto_cell
-    small = n_vertices <= BROADCAST_VERTICES
-    cells = zone_cells(zones, id_col, wkt_col, cell)
-    idx = cells.groupBy("cx", "cy").agg(F.array_sort(F.collect_list(
-        F.struct("zone_id", "minx", "maxx", "miny", "maxy", "rings"))).alias("cands"))
-    return idx, cell, small
-
-
-def _lowest_cover(cands: Column, x: Column, y: Column, eps: float) -> Column:
-    hit = F.filter(cands, lambda z: (x >= z["minx"]) & (x <= z["maxx"]) & (y >= z["miny"]) & (y <= z["maxy"])
-                   & _covers(z["rings"], x, y, eps))
-    return F.array_min(F.transform(hit, lambda z: z["zone_id"]))
-
-
-def attach_zones(df: DataFrame, points: list, zones: DataFrame, id_col: str = "zone_id", wkt_col: str = "wkt",
-                 cell: float | None = None, zone_type: str = "short", eps: float = 1e-9,
-                 force_shuffle: bool = False, widen_input: bool = False) -> DataFrame:
-    """Attach the lowest containing zone for each ``(x, y, out)`` in ``points``.
-
-    Broadcast-index form when the zones are small enough (no shuffle of
-    ``df``): one projection computes every point's cell, one broadcast hash
-    probe per point column fetches the cell's candidates, one projection
-    refines them all. Otherwise one shuffle-join lookup over the distinct
-    pairs per point column.
-    """
-    idx, cell, small = zone_index(zones, id_col, wkt_col, cell)
-    if force_shuffle or not small:
-        out = df
-        for x, y, name in points:
-            out = zone_lookup(out, x, y, zones, name, id_col, wkt_col, cell, zone_type, eps, broadcast=False)
-        return out
-    c = F.lit(float(cell))
-    # the exact refine is CPU-bound per row: spread a small input over the cores
-    out = widen(df) if widen_input else df
-    cells = {}
-    for i, (x, y, _) in enumerate(points):
-        ok = finite(x) & finite(y)
-        xc, yc = F.col(x).cast("double"), F.col(y).cast("double")
-        cells[f"__cx{i}"] = F.when(ok, F.floor(xc / c))
-        cells[f"__cy{i}"] = F.when(ok, F.floor(yc / c))
-    out = out.withColumns(cells)
-    for i in range(len(points)):
-        ix = F.broadcast(idx.select(F.col("cx").alias(f"__cx{i}"), F.col("cy").alias(f"__cy{i}"),
-                                    F.col("cands").alias(f"__cands{i}")))
-        out = out.join(ix, [f"__cx{i}", f"__cy{i}"], "left")
-    zones_cols = {name: _lowest_cover(F.col(f"__cands{i}"), F.col(x).cast("double"), F.col(y).cast("double"),
-                                      eps).cast(zone_type)
-                  for i, (x, y, name) in enumerate(points)}
-    temp = [f"__{k}{i}" for i in range(len(points)) for k in ("cx", "cy", "cands")]
-    return out.withColumns(zones_cols).drop(*temp)
+    return attach_zones(df, [(x, y, out)], zones, id_col, wkt_col, cell, zone_type, eps, force_shuffle=broadcast is False, widen_input=True)

@@ -161,9 +161,8 @@ def build_location(sources: dict, key_method: str = "ranged") -> dict:
     spec = load_spec("location")
     pts = union_sources([sources["main"], sources["at"]])
     # global order (trip, collected_at, lng, lat, accuracy) makes point_id deterministic
+    lines = path_lines(pts, "tripid", ["collected_at", "lng", "lat", "accuracy"], "lng", "lat")
     pts = row_key(pts, ["tripid", "collected_at", "lng", "lat", "accuracy"], "point_id", start=0, method=key_method)
-    lines = path_lines(pts, "tripid", ["collected_at", "lng", "lat", "accuracy"], "lng", "lat",
-                       position="point_id")
     pts = pts.withColumn("shape", point_wkt("lng", "lat"))
     pts = pts.withColumnsRenamed({"tripid": "trip_id_location", "lat": "latitude", "lng": "longitude"})
     lines = lines.withColumnRenamed("tripid", "trip_id_location")

@@ -22,7 +22,7 @@ from surveyprep.operators.reshape import drop_all_null, fill_missing, merge_alte
 from surveyprep.operators.rules import apply_rules, rule
 from surveyprep.operators.weights import person_trip_weight, trip_weight
 from surveyprep.operators.zones import zone_lookup
-from surveyprep.plans.tables import (EV_LAT_SQL, EV_LNG_SQL, EV_TRIP_SQL, MODES_WIDE_SQL, ZONE_POINTS_SQL,
+from surveyprep.plans.tables import (EV_LAT_SQL, EV_LNG_SQL, EV_TRIP_SQL, MODES_WIDE_SQL, SLOTS, ZONE_POINTS_SQL,
                                      ev_lat, ev_lng, ev_trip, modes_wide, project_sql, square_zones,
                                      table, zone_points)
 from surveyprep.session import shared_dir
@@ -316,82 +316,42 @@ def q_pred_null_safe(spark: SparkSession, sf: str) -> DataFrame:
                     P.gt("price", 200000.0).alias("price_gt"), P.is_null("status").alias("status_null"))
 
 
-_RULE_BASE_SQL = """
-SELECT o_orderkey,
-       CAST(o_custkey % 4 AS INTEGER) AS num_trips,
-       CASE o_orderstatus WHEN 'F' THEN 'Yes' WHEN 'O' THEN 'No' END AS made_trips,
-       CASE o_orderpriority WHEN '1-URGENT' THEN 'Other reason' WHEN '2-HIGH' THEN 'Was sick' END AS reason_1,
-       CASE o_orderpriority WHEN '3-MEDIUM' THEN 'Other reason' END AS reason_2,
-       CASE WHEN o_custkey % 3 = 0 THEN 'free text' END AS reason_other,
-       CASE WHEN o_orderkey % 2 = 0 THEN 'rMove' ELSE 'Online' END AS data_source,
-       CASE CAST(o_custkey % 5 AS INTEGER) WHEN 0 THEN 'Home' WHEN 1 THEN 'Other' END AS loc_start,
-       CASE WHEN o_custkey % 7 = 0 THEN 'somewhere' END AS loc_start_other
-FROM orders"""
-
-
-def _rule_base(spark: SparkSession, sf: str) -> DataFrame:
-    o = table(spark, sf, "orders")
-    pr = F.col("o_orderpriority")
-    return o.select(
-        "o_orderkey",
-        (F.col("o_custkey") % 4).cast("int").alias("num_trips"),
-        F.when(F.col("o_orderstatus") == "F", "Yes").when(F.col("o_orderstatus") == "O", "No").alias("made_trips"),
-        F.when(pr == "1-URGENT", "Other reason").when(pr == "2-HIGH", "Was sick").alias("reason_1"),
-        F.when(pr == "3-MEDIUM", "Other reason").alias("reason_2"),
-        F.when(F.col("o_custkey") % 3 == 0, "free text").alias("reason_other"),
-        F.when(F.col("o_orderkey") % 2 == 0, "rMove").otherwise("Online").alias("data_source"),
-        F.when((F.col("o_custkey") % 5).cast("int") == 0, "Home").when((F.col("o_custkey") % 5).cast("int") == 1, "Other")
-         .alias("loc_start"),
-        F.when(F.col("o_custkey") % 7 == 0, "somewhere").alias("loc_start_other"))
-
-
-def demo_rules():
-    """A day-style cascade: count wins over flag, gated Missing / Not Applicable."""
-    NA, MS = "Not Applicable", "Missing"
-    return [
-        rule(P.gt("num_trips", 0), "made_trips", "Yes", reads=["num_trips"]),
-        rule(P.eq("num_trips", 0), "made_trips", "No", reads=["num_trips"]),
-        rule(P.eq("num_trips", 0) & P.is_null("reason_1"), "reason_1", MS, reads=["num_trips", "reason_1"]),
-        rule(P.gt("num_trips", 0) & P.is_null("reason_1"), "reason_1", NA, reads=["num_trips", "reason_1"]),
-        rule(P.ne("reason_1", "Other reason") & P.ne("reason_2", "Other reason"), "reason_other", NA,
-             reads=["reason_1", "reason_2"]),
-        rule((P.eq("reason_1", "Other reason") | P.eq("reason_2", "Other reason")) & P.is_null("reason_other"),
-             "reason_other", MS, reads=["reason_1", "reason_2", "reason_other"]),
-        rule(P.eq("data_source", "rMove"), ["loc_start", "loc_start_other"], NA, reads=["data_source"]),
-        rule(P.eq("data_source", "Online") & P.is_null("loc_start"), "loc_start", MS, reads=["data_source", "loc_start"]),
-        rule(P.eq("data_source", "Online") & P.ne("loc_start", "Other"), "loc_start_other", NA,
-             reads=["data_source", "loc_start"]),
-    ]
-
-
-def _rules_oracle() -> str:
-    NA, MS = "'Not Applicable'", "'Missing'"
-    cols = ["o_orderkey", "num_trips", "made_trips", "reason_1", "reason_2", "reason_other", "data_source",
-            "loc_start", "loc_start_other"]
-    steps = [
-        ("made_trips", "num_trips > 0", "'Yes'"),
-        ("made_trips", "num_trips = 0", "'No'"),
-        ("reason_1", "num_trips = 0 AND reason_1 IS NULL", MS),
-        ("reason_1", "num_trips > 0 AND reason_1 IS NULL", NA),
-        ("reason_other", "reason_1 IS DISTINCT FROM 'Other reason' AND reason_2 IS DISTINCT FROM 'Other reason'", NA),
-        ("reason_other", "(reason_1 IS NOT DISTINCT FROM 'Other reason' OR reason_2 IS NOT DISTINCT FROM 'Other reason')"
-                         " AND reason_other IS NULL", MS),
-        ("loc_start", "data_source IS NOT DISTINCT FROM 'rMove'", NA),
-        ("loc_start_other", "data_source IS NOT DISTINCT FROM 'rMove'", NA),
-        ("loc_start", "data_source IS NOT DISTINCT FROM 'Online' AND loc_start IS NULL", MS),
-        ("loc_start_other", "data_source IS NOT DISTINCT FROM 'Online' AND loc_start IS DISTINCT FROM 'Other'", NA),
-    ]
-    ctes = [f"s0 AS ({_RULE_BASE_SQL})"]
-    for i, (t, cond, v) in enumerate(steps, 1):
-        sel = ", ".join(f"CASE WHEN COALESCE({cond}, false) THEN {v} ELSE {c} END AS {c}" if c == t else c for c in cols)
+# A cascade over the orders: (condition, its columns, targets, value, the condition in SQL, the value in SQL).
+# Later rules read what earlier ones set, overwrite them, set two columns at once, copy a column and clear one.
+
+_TOTAL, _STATUS, _URGENCY = "o_totalprice", "o_orderstatus", "o_orderpriority"
+_TRIAGE = [
+    (lambda: P.gt(_TOTAL, 300000.0), [_TOTAL], ["lane"], "Review", "o_totalprice > 300000.0", "'Review'"),
+    (lambda: P.eq(_STATUS, "F"), [_STATUS], ["lane", "due"], "Closed", "o_orderstatus IS NOT DISTINCT FROM 'F'", "'Closed'"),
+    (lambda: P.ne(_STATUS, "F") & P.is_in(_URGENCY, ["1-URGENT", "2-HIGH"]), [_STATUS, _URGENCY], ["due"], "Today",
+     "o_orderstatus IS DISTINCT FROM 'F' AND COALESCE(o_orderpriority IN ('1-URGENT', '2-HIGH'), false)", "'Today'"),
+    (lambda: P.is_null("due") & P.ge(_TOTAL, 100000.0), ["due", _TOTAL], ["due"], "This week", "due IS NULL AND o_totalprice >= 100000.0", "'This week'"),
+    (lambda: P.is_null("lane"), ["lane", _URGENCY], ["lane"], lambda: F.col(_URGENCY), "lane IS NULL", "o_orderpriority"),
+    (lambda: P.eq("lane", "Review") & P.eq("due", "Today"), ["lane", "due"], ["lane"], "Escalated", "lane = 'Review' AND due = 'Today'", "'Escalated'"),
+    (lambda: P.not_in("lane", ["Review", "Escalated"]), ["lane"], ["checker"], None, "NOT COALESCE(lane IN ('Review', 'Escalated'), false)", "NULL"),
+    (lambda: P.is_null("due"), ["due"], ["due", "checker"], "None", "due IS NULL", "'None'"),
+]
+
+
+def _triage_oracle() -> str:
+    cols = ["o_orderkey", "o_orderstatus", "o_orderpriority", "o_totalprice", "lane", "due", "checker"]
+    ctes = ["""s0 AS (SELECT o_orderkey, o_orderstatus, NULLIF(o_orderpriority, '5-LOW') AS o_orderpriority,
+        CASE WHEN o_custkey % 6 <> 0 THEN o_totalprice END AS o_totalprice, CAST(NULL AS VARCHAR) AS lane, CAST(NULL AS VARCHAR) AS due,
+        'Team ' || CAST(o_custkey % 4 AS VARCHAR) AS checker FROM orders)"""]
+    for i, (_, _, targets, _, cond, value) in enumerate(_TRIAGE, 1):
+        sel = ", ".join(f"CASE WHEN COALESCE({cond}, false) THEN {value} ELSE {c} END AS {c}" if c in targets else c for c in cols)
         ctes.append(f"s{i} AS (SELECT {sel} FROM s{i - 1})")
-    return "WITH " + ",\n".join(ctes) + f"\nSELECT * FROM s{len(steps)}"
+    return "WITH " + ",\n".join(ctes) + f"\nSELECT * FROM s{len(ctes) - 1}"
 
 
-@register("recode_rules", _rules_oracle())
+@register("recode_rules", _triage_oracle())
 def q_recode_rules(spark: SparkSession, sf: str) -> DataFrame:
-    """FLT1/FLT2/FLT6/DOM2-5: ordered cascade, staged into few projections."""
-    return apply_rules(_rule_base(spark, sf), demo_rules())
+    """FLT1/FLT2/FLT6/FLT7: ordered cascade, staged into few projections."""
+    o = table(spark, sf, "orders").select(
+        "o_orderkey", "o_orderstatus", F.nullif("o_orderpriority", F.lit("5-LOW")).alias("o_orderpriority"),
+        F.when(F.col("o_custkey") % 6 != 0, F.col("o_totalprice")).alias("o_totalprice"), F.lit(None).cast("string").alias("lane"),
+        F.lit(None).cast("string").alias("due"), F.concat(F.lit("Team "), (F.col("o_custkey") % 4).cast("string")).alias("checker"))
+    return apply_rules(o, [rule(cond(), targets, value() if callable(value) else value, reads=reads) for cond, reads, targets, value, *_ in _TRIAGE])
 
 
 _TRANSIT, _AUTO, _AIR = [1, 2, 3], [4, 5], [9]
@@ -399,31 +359,31 @@ _TRANSIT, _AUTO, _AIR = [1, 2, 3], [4, 5], [9]
 
 def _in_any_sql(values) -> str:
     vals = ", ".join(str(v) for v in values)
-    return "(" + " OR ".join(f"COALESCE(mode_{k} IN ({vals}), false)" for k in range(1, 5)) + ")"
+    return "(" + " OR ".join(f"COALESCE(mode_{k} IN ({vals}), false)" for k in SLOTS) + ")"
 
 
-@register("multi_response", f"""
-SELECT l_orderkey, mode_1, mode_2, mode_3, mode_4,
+@register("multi_response_all", f"""
+SELECT l_orderkey, copy, {', '.join(f'mode_{k}' for k in SLOTS)},
        NOT {_in_any_sql(_TRANSIT)} AS no_transit,
        NOT {_in_any_sql(_AUTO)} AS no_auto,
        CASE WHEN NOT {_in_any_sql(_AIR)} THEN 'Not Applicable' ELSE 'Asked' END AS airtype
 FROM ({MODES_WIDE_SQL})""")
 def q_multi_response(spark: SparkSession, sf: str) -> DataFrame:
-    """FLT8 / DOM7: "no one of the four mode slots is in the set", nulls ignored."""
+    """FLT8 / DOM7: "no one of the mode slots is in the set", nulls ignored; every line of every order."""
     w = modes_wide(table(spark, sf, "lineitem"))
-    modes = [f"mode_{k}" for k in range(1, 5)]
-    return w.select("l_orderkey", *modes, P.none_in(modes, _TRANSIT).alias("no_transit"),
+    modes = [f"mode_{k}" for k in SLOTS]
+    return w.select("l_orderkey", "copy", *modes, P.none_in(modes, _TRANSIT).alias("no_transit"),
                     P.none_in(modes, _AUTO).alias("no_auto"),
                     F.when(P.none_in(modes, _AIR), "Not Applicable").otherwise("Asked").alias("airtype"))
 
 
-@register("wide_to_long", " UNION ALL ".join(
-    f"SELECT l_orderkey, {k} AS slot, mode_{k} AS mode, ext_{k} AS ext FROM ({MODES_WIDE_SQL}) "
-    f"WHERE NOT (mode_{k} IS NULL AND ext_{k} IS NULL)" for k in range(1, 5)))
+@register("wide_to_long_all", " UNION ALL ".join(
+    f"SELECT l_orderkey, copy, {k} AS slot, mode_{k} AS mode, ext_{k} AS ext FROM ({MODES_WIDE_SQL}) "
+    f"WHERE NOT (mode_{k} IS NULL AND ext_{k} IS NULL)" for k in SLOTS))
 def q_wide_to_long(spark: SparkSession, sf: str) -> DataFrame:
-    """RSH1 + FLT9: two stubs x four slots to rows; all-null rows dropped."""
+    """RSH1 + FLT9: two stubs x seven slots to rows; all-null rows dropped; one row for each line of the table."""
     w = modes_wide(table(spark, sf, "lineitem"))
-    long = wide_to_long(w, ["mode", "ext"], "l_orderkey", "slot", range(1, 5))
+    long = wide_to_long(w, ["mode", "ext"], ["l_orderkey", "copy"], "slot", SLOTS, validate=True)
     return drop_all_null(long, ["mode", "ext"])
 
 

@@ -3,7 +3,7 @@ import math
 from pyspark.sql import functions as F
 
 from surveyprep.functions.geo import point_wkt, project_xy, wkt_rings
-from surveyprep.operators.paths import path_lines, path_lines_small
+from surveyprep.operators.paths import path_lines
 from surveyprep.operators.zones import attach_zones, zone_lookup
 
 
@@ -91,11 +91,24 @@ def _pings(spark):
 def test_path_lines_semantics(spark):
     df = _pings(spark)
     got = {r["trip"]: r["shape"] for r in path_lines(df, "trip", ["t", "seq"], "lng", "lat").collect()}
-    small = {r["trip"]: r["shape"] for r in path_lines_small(df, "trip", ["t", "seq"], "lng", "lat").collect()}
-    chunked = {r["trip"]: r["shape"] for r in path_lines(df, "trip", ["t", "seq"], "lng", "lat", chunk=1).collect()}
-    assert got == small == chunked
+    cut = {r["trip"]: r["shape"] for r in path_lines(df, "trip", ["t", "seq"], "lng", "lat", stretch=1).collect()}
+    assert got == cut
     assert got[1].startswith("POINT (") and got[2].startswith("POINT (")
     assert got[3].startswith("LINESTRING (") and got[3].count(",") == 2
     v = df.select(point_wkt(F.lit(-117.0), F.lit(32.7)).alias("a"), point_wkt(F.lit(-117.1), F.lit(32.8)).alias("b")).first()
     assert got[4] == "LINESTRING (" + v["a"][7:-1] + ", " + v["b"][7:-1] + ")"
     assert got[5] is None
+
+
+def test_path_of_many_pings_against_brute_force(spark):
+    # one trip of 60,000 pings among small ones, two pings a second, vertices met again
+    df = spark.range(60000).select(F.lit(7).alias("trip"), F.timestamp_seconds(F.lit(1.7e9) + F.floor(F.col("id") / 2)).alias("t"), F.col("id").alias("seq"),
+                                   (F.lit(-117.0) + (F.col("id") * 7919 % 5003) / 10000.0).alias("lng"), (F.lit(32.5) + (F.col("id") % 3) / 10.0).alias("lat"))
+    df = df.union(df.where("seq % 2 = 1").withColumn("trip", F.lit(8)).withColumn("t", F.lit(None).cast("timestamp")))
+    got = {r["trip"]: r["shape"] for r in path_lines(df.repartition(5), "trip", ["t", "seq"], "lng", "lat").collect()}
+    text = {(r["lng"], r["lat"]): r["p"][7:-1] for r in df.select("lng", "lat", point_wkt("lng", "lat").alias("p")).distinct().collect()}
+    rows = sorted((r["trip"], r["seq"], r["lng"], r["lat"]) for r in df.collect())
+    for trip in (7, 8):
+        assert got[trip] == "LINESTRING (" + ", ".join(text[v] for v in dict.fromkeys((x, y) for t, _, x, y in rows if t == trip)) + ")"
+    plan = path_lines(df, "trip", ["t", "seq"], "lng", "lat")._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan
