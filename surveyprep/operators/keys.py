@@ -167,6 +167,28 @@ def carried_dense_key(df: DataFrame, keys: Sequence[str], name: str, num_partiti
     return out.select(*fields, F.when(F.col("__dense") > 0, F.col("__dense") + F.col("__before")).otherwise(F.lit(null_key)).cast("bigint").alias(name))
 
 
+PLACE = ["__source", "__file", "__block", "__place"]
+
+
+def with_place(source: DataFrame, number: int) -> DataFrame:
+    """A frame straight from a file read with where its rows come from: source, file, block start, place.
+
+    Places count up in a block; Parquet files know a row's place in the file.
+    """
+    known = source.select("_metadata").schema["_metadata"].dataType.names
+    block, at = ("0L", F.col("_metadata.row_index")) if "row_index" in known else ("_metadata.file_block_start", F.monotonically_increasing_id())
+    return source.select("*", F.lit(number).alias("__source"), F.col("_metadata.file_path").alias("__file"), F.expr(block).alias("__block"), at.alias("__place"))
+
+
+def number_places(rows: DataFrame, name: str, per_file: bool = False, start: int = 0) -> DataFrame:
+    """``rows``, a written frame with places, numbered in load order (or within each file): a prefix sum over the counts per block."""
+    block = PLACE[:3]
+    counts = rows.groupBy(*block).agg(F.count("*").alias("__n"), F.min("__place").alias("__first"))
+    w = (Window.partitionBy(*block[:2]) if per_file else Window).orderBy(*block)
+    before = counts.select(*block, "__first", (F.sum("__n").over(w) - F.col("__n")).alias("__before"))  # a row for each block
+    return rows.join(before, block).withColumn(name, (F.col("__before") + F.col("__place") - F.col("__first") + start).cast("bigint")).drop("__first", "__before")
+
+
 def load_order_key(sources: Sequence[DataFrame], name: str, start: int = 0) -> DataFrame:
     """WIN3: the rows of ``sources`` (frames straight from a file read), numbered in load order.
 
@@ -174,27 +196,13 @@ def load_order_key(sources: Sequence[DataFrame], name: str, start: int = 0) -> D
     rows in a file: no sort and no sampling. The file, the start of the block
     a row was read from and the row's place in its block come from the read
     itself; the counts per block, summed up in order, are all that crosses to
-    one task. Parquet files know a row's place in the file. Sources are put
-    together by column name; a column that one lacks is null there.
+    one task. Sources are put together by column name; a column that one lacks
+    is null there.
     """
-    spark = sources[0].sparkSession
-    ensure_checkpoint_dir(spark)
-    parts = []
-    for i, source in enumerate(sources):
-        known = source.select("_metadata").schema["_metadata"].dataType.names
-        block, at = ("0L", F.col("_metadata.row_index")) if "row_index" in known else ("_metadata.file_block_start", F.monotonically_increasing_id())
-        place = source.select("*", F.lit(i).alias("__source"), F.col("_metadata.file_path").alias("__file"), F.expr(block).alias("__block"), at.alias("__place"))
-        parts.append(place)
-    rows = functools.reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    fields = [c for c in rows.columns if c not in ("__source", "__file", "__block", "__place")]
+    ensure_checkpoint_dir(sources[0].sparkSession)
+    rows = functools.reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [with_place(s, i) for i, s in enumerate(sources)])
     # written once, so that places and counts come from the same read
-    rows = rows.checkpoint()
-    block = ["__source", "__file", "__block"]
-    counts = rows.groupBy(*block).agg(F.count("*").alias("__n"), F.min("__place").alias("__first"))
-    w = Window.orderBy(*block)
-    before = counts.select(*block, "__first", (F.sum("__n").over(w) - F.col("__n")).alias("__before"))  # a row for each block
-    out = rows.join(before, block)
-    return out.select(*fields, (F.col("__before") + F.col("__place") - F.col("__first") + start).cast("bigint").alias(name))
+    return number_places(rows.checkpoint(), name, start=start).drop(*PLACE)
 
 
 def add_sentinel(df: DataFrame, values: dict) -> DataFrame:

@@ -30,6 +30,7 @@ from surveyprep.plans import survey_rules as R
 from surveyprep.plans.raw_inputs import raw_sources, survey_zones
 from surveyprep.session import widen
 from surveyprep.sources.readers import add_defaults, union_sources
+from surveyprep.sources.survey_files import read_survey
 
 NA = "Not Applicable"
 
@@ -169,6 +170,37 @@ def build_location(sources: dict, key_method: str = "ranged") -> dict:
     return {"points": pts.select(*spec["output"]["points"]), "lines": lines.select(*spec["output"]["lines"])}
 
 
+# Spark types of raw columns by the type of the target column that they become
+_TARGET_TYPES = {"int": "bigint", "integer": "bigint", "bigint": "bigint", "smallint": "bigint", "tinyint": "bigint", "float": "double",
+                 "real": "double", "date": "date", "smalldatetime": "timestamp_ntz", "datetime": "timestamp_ntz"}
+
+
+def raw_types(name: str, role: str) -> dict:
+    """Read types of a raw source's columns: those listed, else by the target column, coordinates as double; the rest is text."""
+    spec, types = load_spec(name), {}
+    target = {} if name == "location" else {c.name: c.sql_type for c in contract_for(name).columns}
+    points = {c for lng, lat, _, _ in (PLANS[name].points if name in PLANS else []) for c in (lng, lat)} | {"lng", "lat", "accuracy", "heading", "speed"}
+    for c in spec["sources"][role]["columns"]:
+        own = spec["sources"][role]["types"].get(c)
+        kind = own or _TARGET_TYPES.get(target.get(spec["rename"].get(c, c)))
+        types[c] = own or ("double" if c in points else None if c in spec["codebook"] and spec["codebook"][c].get("key_type") == "string" else kind) or "string"
+    types |= {c: k for c, k in {"tripid": "bigint", "collected_at": "timestamp_ntz", "h_complete_weekdays": "int"}.items() if c in types}
+    return types
+
+
+def read_raw(spark: SparkSession, name: str, files: dict, multi_line: bool = False) -> tuple[dict, DataFrame]:
+    """({role: typed raw source}, reject ledger) of a dataset's raw CSV files, ``files`` by role."""
+    spec = load_spec(name)["sources"]
+    return read_survey(spark, files, {role: {"columns": spec[role]["columns"], "types": raw_types(name, role)} for role in files}, multi_line=multi_line)
+
+
+def build_from_files(spark: SparkSession, name: str, files: dict, zones: DataFrame | None = None, compat: bool = False,
+                     multi_line: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(the dataset, the reject ledger) from raw CSV files: {"main": paths, "at": paths}."""
+    sources, ledger = read_raw(spark, name, files, multi_line)
+    return build_dataset(name, sources, zones, compat), ledger
+
+
 def load_dataset(df: DataFrame, table_name: str, sentinel: dict | None = None) -> tuple[DataFrame, list]:
     """Conform to the target contract (+ optional sentinel row) and build its DQ reports."""
     contract = contract_for(table_name)
