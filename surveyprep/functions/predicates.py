@@ -9,6 +9,8 @@ condition goes through these helpers and is never null.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import reduce
 from typing import Iterable
 
@@ -20,19 +22,42 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+_heard: list | None = None
+
+
+@contextmanager
+def recorded() -> Iterator[list]:
+    """The tests for values that are built meanwhile: (column's name, values)."""
+    global _heard
+    before, _heard = _heard, []
+    try:
+        yield _heard
+    finally:
+        _heard = before
+
+
+def _note(c, values: Iterable) -> None:
+    if _heard is not None:
+        _heard.append((c if isinstance(c, str) else c._jc.toString(), tuple(values)))
+
+
 def eq(c, value) -> Column:
     """``c == value``; null is *not equal*."""
+    _note(c, [value])
     return _c(c).eqNullSafe(F.lit(value))
 
 
 def ne(c, value) -> Column:
     """``c != value``; null counts as *not equal* (true)."""
+    _note(c, [value])
     return ~_c(c).eqNullSafe(F.lit(value))
 
 
 def is_in(c, values: Iterable) -> Column:
     """Membership; null is not a member."""
-    return F.coalesce(_c(c).isin(list(values)), F.lit(False))
+    values = list(values)
+    _note(c, values)
+    return F.coalesce(_c(c).isin(values), F.lit(False))
 
 
 def not_in(c, values: Iterable) -> Column:

@@ -14,12 +14,14 @@ assignment. Each stage is one ``withColumns`` projection.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from typing import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from surveyprep.functions.predicates import recorded
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -27,6 +29,7 @@ class Rule:
     set: tuple                   # ((target, value), ...); value is a literal or a Column
     reads: frozenset = frozenset()
     name: str = ""
+    tests: tuple = ()            # ((column, (value, ...)), ...): the values that the condition asks for
 
     @property
     def targets(self) -> list[str]:
@@ -126,7 +129,8 @@ def when(cond_fn, targets, value, name: str = "") -> Rule:
         names.append(n)
         return F.col(n)
 
-    cond = cond_fn(c) if cond_fn is not None else None
+    with recorded() as tests:
+        cond = cond_fn(c) if cond_fn is not None else None
     if isinstance(value, Column):
         raise TypeError("use rule(..., reads=...) for column values")
-    return rule(cond, targets, value, reads=names, name=name)
+    return replace(rule(cond, targets, value, reads=names, name=name), tests=tuple(tests))

@@ -333,13 +333,32 @@ _TRIAGE = [
 ]
 
 
-def _triage_oracle() -> str:
-    cols = ["o_orderkey", "o_orderstatus", "o_orderpriority", "o_totalprice", "lane", "due", "checker"]
-    ctes = ["""s0 AS (SELECT o_orderkey, o_orderstatus, NULLIF(o_orderpriority, '5-LOW') AS o_orderpriority,
+TRIAGE_COLUMNS = ["o_orderkey", "o_orderstatus", "o_orderpriority", "o_totalprice", "lane", "due", "checker"]
+TRIAGE_BASE_SQL = """SELECT o_orderkey, o_orderstatus, NULLIF(o_orderpriority, '5-LOW') AS o_orderpriority,
         CASE WHEN o_custkey % 6 <> 0 THEN o_totalprice END AS o_totalprice, CAST(NULL AS VARCHAR) AS lane, CAST(NULL AS VARCHAR) AS due,
-        'Team ' || CAST(o_custkey % 4 AS VARCHAR) AS checker FROM orders)"""]
-    for i, (_, _, targets, _, cond, value) in enumerate(_TRIAGE, 1):
-        sel = ", ".join(f"CASE WHEN COALESCE({cond}, false) THEN {value} ELSE {c} END AS {c}" if c in targets else c for c in cols)
+        'Team ' || CAST(o_custkey % 4 AS VARCHAR) AS checker FROM orders"""
+
+
+def triage_steps() -> list[tuple]:
+    """(number, targets, condition, value) of the cascade in SQL."""
+    return [(i, targets, cond, value) for i, (_, _, targets, _, cond, value) in enumerate(_TRIAGE, 1)]
+
+
+def triage_rules() -> list:
+    return [rule(cond(), targets, value() if callable(value) else value, reads=reads) for cond, reads, targets, value, *_ in _TRIAGE]
+
+
+def triage_base(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "orders").select(
+        "o_orderkey", "o_orderstatus", F.nullif("o_orderpriority", F.lit("5-LOW")).alias("o_orderpriority"),
+        F.when(F.col("o_custkey") % 6 != 0, F.col("o_totalprice")).alias("o_totalprice"), F.lit(None).cast("string").alias("lane"),
+        F.lit(None).cast("string").alias("due"), F.concat(F.lit("Team "), (F.col("o_custkey") % 4).cast("string")).alias("checker"))
+
+
+def _triage_oracle() -> str:
+    ctes = [f"s0 AS ({TRIAGE_BASE_SQL})"]
+    for i, targets, cond, value in triage_steps():
+        sel = ", ".join(f"CASE WHEN COALESCE({cond}, false) THEN {value} ELSE {c} END AS {c}" if c in targets else c for c in TRIAGE_COLUMNS)
         ctes.append(f"s{i} AS (SELECT {sel} FROM s{i - 1})")
     return "WITH " + ",\n".join(ctes) + f"\nSELECT * FROM s{len(ctes) - 1}"
 
@@ -347,11 +366,7 @@ def _triage_oracle() -> str:
 @register("recode_rules", _triage_oracle())
 def q_recode_rules(spark: SparkSession, sf: str) -> DataFrame:
     """FLT1/FLT2/FLT6/FLT7: ordered cascade, staged into few projections."""
-    o = table(spark, sf, "orders").select(
-        "o_orderkey", "o_orderstatus", F.nullif("o_orderpriority", F.lit("5-LOW")).alias("o_orderpriority"),
-        F.when(F.col("o_custkey") % 6 != 0, F.col("o_totalprice")).alias("o_totalprice"), F.lit(None).cast("string").alias("lane"),
-        F.lit(None).cast("string").alias("due"), F.concat(F.lit("Team "), (F.col("o_custkey") % 4).cast("string")).alias("checker"))
-    return apply_rules(o, [rule(cond(), targets, value() if callable(value) else value, reads=reads) for cond, reads, targets, value, *_ in _TRIAGE])
+    return apply_rules(triage_base(spark, sf), triage_rules())
 
 
 _TRANSIT, _AUTO, _AIR = [1, 2, 3], [4, 5], [9]
