@@ -26,6 +26,7 @@ from surveyprep.operators.reshape import drop_all_null, fill_missing, merge_alte
 from surveyprep.operators.rules import apply_rules
 from surveyprep.operators.weights import person_trip_weight, trip_weight
 from surveyprep.operators.zones import attach_zones
+from surveyprep.plans import dataset_sql as S
 from surveyprep.plans import survey_rules as R
 from surveyprep.plans.raw_inputs import raw_sources, survey_zones
 from surveyprep.session import widen
@@ -280,3 +281,16 @@ def _profile(name: str, part: str):
 QUERIES["profile_households_n"] = _profile("households", "n")
 QUERIES["profile_households_freq"] = _profile("households", "freq")
 QUERIES["profile_trips_freq"] = _profile("trips", "freq")
+
+
+def _oracles() -> dict:
+    built = {n: S.dataset_sql(n, plan, BORDER_STUBS) for n, plan in PLANS.items()}
+    out = {f"build_{n}": sql for n, sql in built.items()}
+    out |= {"build_location_points": S.location_points_sql(), "build_location_lines": S.location_lines_sql(),
+            "load_vehicles": S.loaded_sql("vehicles", built["vehicles"], VEHICLE_SENTINEL)}
+    households, trips = dataset_categories("households"), dataset_categories("trips")
+    return out | {"profile_households_n": S.profile_n_sql(built["households"], load_spec("households")["output"], households),
+                  "profile_households_freq": S.profile_freq_sql(built["households"], households), "profile_trips_freq": S.profile_freq_sql(built["trips"], trips)}
+
+
+ORACLE = _oracles()

@@ -95,7 +95,7 @@ def q_map_unlisted(spark: SparkSession, sf: str) -> DataFrame:
     return unlisted_codes(rows, Codebook({f: field_map([[c, str(c)] for c in codes]) for f, codes in _LINE_CODES.items()}), share=0.024)
 
 
-_NARROW = TableContract("narrow", (ColumnSpec("p_name", "nvarchar", 12, True), ColumnSpec("p_type", "nvarchar", 20, True), ColumnSpec("p_brand", "nvarchar", 7, True)), ())
+_NARROW = TableContract("narrow", (ColumnSpec("p_name", "nvarchar", 9, True), ColumnSpec("p_type", "nvarchar", 5, True), ColumnSpec("p_brand", "nvarchar", 7, True)), ())
 
 
 @register("dq_width_offenders", "\nUNION ALL\n".join(f"""
