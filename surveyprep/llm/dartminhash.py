@@ -252,7 +252,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` that are their group's smallest document; of rows with the same id, one stays."""
+    """The rows of ``docs`` that are their group's smallest document; of rows with the same id and text, one stays (that of least hash)."""
     scratch = Scratch(docs.sparkSession, "dart-keep")
     found = near_duplicates(docs, id_col, text_col, **options)
     # a row per document; is_kept is the same in all rows of an id
@@ -260,5 +260,6 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
                       .where("not kept or n > 1").withColumnRenamed("doc_id", "known_id"), "ids")
     marked = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("own_id")).join(sized(ids, 32), F.col("own_id") == F.col("known_id"), "left")
     single = marked.where("known_id is null").select("row.*")
-    again = marked.where("kept and n > 1").groupBy("own_id").agg(F.first("row").alias("row")).select("row.*")
+    again = marked.where("kept and n > 1").withColumn("text_hash", F.xxhash64(F.col(f"row.{text_col}"))).withColumn("text_size", F.length(F.col(f"row.{text_col}")))
+    again = again.groupBy("own_id", "text_hash", "text_size").agg(F.min_by("row", F.xxhash64("row")).alias("row")).select("row.*")
     return single.unionByName(again)

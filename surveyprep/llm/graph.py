@@ -40,6 +40,8 @@ def components(links: DataFrame, scratch: Scratch, name: str = "cc", keep: str =
         if tuple(stats) == last:
             break
         last = tuple(stats)
+    else:
+        raise RuntimeError("the groups were not connected in 199 rounds")
     scratch.drop(*made[:-1])
     stars = edges.select(F.col("a").cast(kind).alias("v"), F.col("b").cast(kind).alias("root"))
     return stars.union(stars.select(F.col("root").alias("v"), "root").distinct())

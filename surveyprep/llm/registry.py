@@ -93,4 +93,4 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (op1_packing, op2_repeats, op5_licences, op4_near_duplicates, op6_mixing, op7_quality_rules, op3_top_k, op8_url_filter,
                                  op9_warc, op10_line_dedup, op11_lexical, op12_runs, op13_neighbours)}
 QUERIES["pipeline"] = pipeline
-ORACLE = {"op3_top_k": vafile.OP3_SQL, "op6_mixing": mixing.OP6_SQL, "op11_lexical": lexical.OP11_SQL}
+ORACLE = {"op3_top_k": vafile.OP3_SQL, "op6_mixing": mixing.OP6_SQL, "op9_warc": warc.OP9_SQL, "op11_lexical": lexical.OP11_SQL}

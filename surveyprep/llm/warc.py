@@ -240,8 +240,13 @@ def archive_and_read(pages: DataFrame, min_bytes: int = 0, **columns) -> DataFra
     return responses.union(revisits)
 
 
+# The digest's 40 hexadecimal digits are 8 groups of 5, each of them four characters of base 32.
 OP9_SQL = """
-SELECT page_id, payload_bytes, record_type, CASE WHEN record_type = 'revisit' THEN m END AS refers_to
-FROM (SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, max(page_id) OVER (PARTITION BY coalesce(html, '')) AS m,
-             CASE WHEN page_id = max(page_id) OVER (PARTITION BY coalesce(html, '')) THEN 'response' ELSE 'revisit' END AS record_type FROM pages)
+WITH p AS (SELECT page_id, coalesce(html, '') AS body, max(page_id) OVER (PARTITION BY coalesce(html, '')) AS last FROM pages),
+h AS (SELECT *, sha1(body) AS hex FROM p),
+g AS (SELECT *, [CAST('0x' || substr(hex, 1 + 5 * i, 5) AS INTEGER) for i in range(8)] AS groups FROM h)
+SELECT page_id, strlen(body)::BIGINT AS payload_bytes,
+       array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST(groups[1 + j // 4] // CAST(pow(32, 3 - j % 4) AS INTEGER) % 32 AS INTEGER), 1) for j in range(32)], '') AS payload_digest,
+       CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> last THEN last END AS refers_to
+FROM g
 """
