@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import functools
 import math
+import operator
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -67,3 +69,48 @@ def width_offenders(df: DataFrame, contract: TableContract, k: int = 5) -> DataF
     w = Window.partitionBy("field").orderBy(F.col("length").desc(), "label")
     return counted.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("field", "limit", "rank", "length", "label", "n")
 
+
+
+#: Largest key filter, in bytes, that is sent to every executor.
+FILTER_BYTES = 64 << 20
+#: Bits of a filter page; what one row of the filter holds.
+PAGE_BITS = 32768
+
+
+def orphans(child: DataFrame, keys: list[str], parent: DataFrame, parent_keys: list[str], bits_per_key: int = 16) -> DataFrame:
+    """SNK5 / JON6: the rows of ``child`` whose key no row of ``parent`` has; rows with a null key part are none.
+
+    A Bloom filter of the parent's keys, made by one bitmap aggregate, tells
+    most orphans without a shuffle of the child: a key whose bits aren't set
+    is in no parent row. Keys whose bits are set may still be orphans; of
+    these, the different ones alone go through the exact anti-join. The filter
+    has ``bits_per_key`` bits a parent row and is broadcast below FILTER_BYTES,
+    else left to the planner.
+    """
+    n = parent.count()
+    pages = max(1, -(-n * bits_per_key // PAGE_BITS))
+
+    def bit(columns: list[str], seed: int):
+        return F.pmod(F.xxhash64(F.lit(seed), *columns), F.lit(pages * PAGE_BITS)).cast("long")
+
+    whole = [F.col(k).isNotNull() for k in parent_keys]
+    own = parent.where(functools.reduce(operator.and_, whole)).select(*[F.col(k).alias(f"__{i}") for i, k in enumerate(parent_keys)])
+    names = [f"__{i}" for i in range(len(keys))]
+    bits = own.select(F.explode(F.array(bit(names, 1), bit(names, 2))).alias("b"))
+    filter_pages = bits.groupBy(F.floor(F.col("b") / PAGE_BITS).alias("page")).agg(F.bitmap_construct_agg(F.col("b") % PAGE_BITS).alias("map"))
+    small = pages * PAGE_BITS // 8 <= FILTER_BYTES
+    out = child.where(functools.reduce(operator.and_, [F.col(k).isNotNull() for k in keys]))
+    for seed in (1, 2):
+        side = filter_pages.select(F.col("page").alias(f"__page{seed}"), F.col("map").alias(f"__map{seed}"))
+        at = bit(keys, seed)
+        out = out.withColumn(f"__bit{seed}", at % PAGE_BITS).withColumn(f"__page{seed}", F.floor(at / PAGE_BITS))
+        out = out.join(F.broadcast(side) if small else side, f"__page{seed}", "left")
+    # bit b of a page is bit b % 8 of its byte b / 8
+    isset = [F.expr(f"coalesce(conv(hex(substring(__map{s}, cast(__bit{s} div 8 as int) + 1, 1)), 16, 10) & shiftleft(1, cast(__bit{s} % 8 as int)), 0) <> 0") for s in (1, 2)]
+    out = out.withColumn("__maybe", functools.reduce(operator.and_, isset))
+    sure = out.where(~F.col("__maybe")).select(*child.columns)
+    maybe = out.where("__maybe").select(*child.columns)
+    same = functools.reduce(operator.and_, [F.col(k) == F.col(n) for k, n in zip(keys, names)])
+    false = maybe.select(*[F.col(k).alias(n) for k, n in zip(keys, names)]).distinct().join(own.select(*[F.col(n).alias(f"{n}p") for n in names]), functools.reduce(
+        operator.and_, [F.col(n) == F.col(f"{n}p") for n in names]), "left_anti")
+    return sure.union(maybe.join(false, same, "left_semi"))

@@ -235,13 +235,22 @@ def location_lines_sql() -> str:
             "SELECT tripid AS trip_id_location, CASE WHEN n >= 2 THEN 'LINESTRING (' ELSE 'POINT (' END || line || ')' AS shape FROM g")
 
 
-def loaded_sql(table: str, built: str, sentinel: dict) -> str:
-    """A built table as its contract stores it, with the sentinel row."""
-    kinds = {"int": "INTEGER", "integer": "INTEGER", "bigint": "BIGINT", "smallint": "SMALLINT", "tinyint": "SMALLINT", "float": "DOUBLE", "nvarchar": "VARCHAR"}
+def loaded_sql(table: str, built: str, sentinel: dict | None = None) -> str:
+    """A built table as its contract stores it, with the sentinel row if there is one."""
+    kinds = {"int": "INTEGER", "integer": "INTEGER", "bigint": "BIGINT", "smallint": "SMALLINT", "tinyint": "SMALLINT", "float": "DOUBLE", "real": "FLOAT",
+             "nvarchar": "VARCHAR", "varchar": "VARCHAR", "geometry": "VARCHAR", "date": "DATE", "smalldatetime": "TIMESTAMP", "datetime": "TIMESTAMP"}
+
+    def stored(c) -> str:
+        kind = kinds[c.sql_type]
+        if c.sql_type == "smalldatetime":
+            return f"date_trunc('minute', {c.name}::TIMESTAMP + INTERVAL 30 SECOND)"
+        return f"CAST({f'trunc(CAST({c.name} AS DOUBLE))' if 'int' in c.sql_type else c.name} AS {kind})"
+
     columns = load_contracts()[table].columns
-    stored = [f"CAST({f'trunc({c.name})' if 'int' in c.sql_type else c.name} AS {kinds[c.sql_type]}) AS {c.name}" for c in columns]
-    row = [f"CAST({q(sentinel.get(c.name))} AS {kinds[c.sql_type]})" for c in columns]
-    return f"SELECT {', '.join(stored)} FROM ({built}) UNION ALL SELECT {', '.join(row)}"
+    rows = f"SELECT {', '.join(f'{stored(c)} AS {c.name}' for c in columns)} FROM ({built})"
+    if not sentinel:
+        return rows
+    return rows + " UNION ALL SELECT " + ", ".join(f"CAST({q(sentinel.get(c.name))} AS {kinds[c.sql_type]})" for c in columns)
 
 
 def profile_n_sql(built: str, columns: list[str], categories: dict) -> str:

@@ -246,6 +246,20 @@ QUERIES["build_location_lines"] = _location("lines")
 QUERIES["load_vehicles"] = _vehicles_loaded
 
 
+def _loaded(query: str, table_name: str):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return load_dataset(QUERIES[query](spark, sf_dir), table_name)[0]
+    run.__name__ = query.replace("build", "load")
+    run.__doc__ = f"SNK6 / SNK11: {table_name} as its contract's types store it."
+    return run
+
+
+#: The other tables' contracts by builder.
+LOADED = {f"build_{n}": n for n in ("day", "households", "border_trips", "intercept", "persons", "trips")} | {
+    "build_location_points": "location_points", "build_location_lines": "location_lines"}
+QUERIES |= {q.replace("build", "load"): _loaded(q, t) for q, t in LOADED.items()}
+
+
 def dataset_categories(name: str) -> dict:
     """Output column -> category order for every coded field of a dataset.
 
@@ -288,6 +302,7 @@ def _oracles() -> dict:
     out = {f"build_{n}": sql for n, sql in built.items()}
     out |= {"build_location_points": S.location_points_sql(), "build_location_lines": S.location_lines_sql(),
             "load_vehicles": S.loaded_sql("vehicles", built["vehicles"], VEHICLE_SENTINEL)}
+    out |= {q.replace("build", "load"): S.loaded_sql(t, out[q]) for q, t in LOADED.items()}
     households, trips = dataset_categories("households"), dataset_categories("trips")
     return out | {"profile_households_n": S.profile_n_sql(built["households"], load_spec("households")["output"], households),
                   "profile_households_freq": S.profile_freq_sql(built["households"], households), "profile_trips_freq": S.profile_freq_sql(built["trips"], trips)}

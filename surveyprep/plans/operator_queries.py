@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from surveyprep.functions import predicates as P
 from surveyprep.functions.geo import point_wkt
 from surveyprep.operators.codebook import Codebook, apply_codebook, field_map, map_expr, topcode_map
-from surveyprep.operators.contract import ColumnSpec, TableContract, conform, dq_columns, dq_key, round_minute
+from surveyprep.operators.contract import ColumnSpec, TableContract, conform, dq_columns, dq_key
 from surveyprep.operators.keys import add_sentinel, dense_key, row_key
 from surveyprep.operators.paths import path_lines
 from surveyprep.operators.profile import profile_freq, profile_n
@@ -589,9 +589,23 @@ SELECT event_id, date_trunc('minute', ts + INTERVAL 30 SECOND) AS ts_minute,
 FROM events""")
 def q_store_assign(spark: SparkSession, sf: str) -> DataFrame:
     """SNK6/SCL7: smalldatetime minute rounding, float -> int truncation, text/timestamp -> date."""
-    ev = table(spark, sf, "events")
-    return ev.select("event_id", round_minute("ts").alias("ts_minute"),
-                     F.col("value").cast("int").alias("value_int"), F.to_date("ts").alias("event_date"))
+    ev = table(spark, sf, "events").select("event_id", F.col("ts").alias("ts_minute"), F.col("value").alias("value_int"), F.col("ts").alias("event_date"))
+    return conform(ev, TableContract("stored", (ColumnSpec("event_id", "bigint", None, False), ColumnSpec("ts_minute", "smalldatetime", None, True),
+                                                ColumnSpec("value_int", "int", None, True), ColumnSpec("event_date", "date", None, True)), ("event_id",)))
+
+
+@register("store_assign_kinds", """
+SELECT l_orderkey, l_linenumber, CAST(l_linenumber * 30 AS SMALLINT) AS small, CAST(trunc(-l_extendedprice) AS BIGINT) AS whole,
+       CAST(trunc(l_extendedprice) AS INTEGER) AS from_text, CAST(l_discount AS DOUBLE) AS share, l_returnflag AS flag, CAST(l_shipdate AS DATE) AS shipped
+FROM lineitem""")
+def q_store_assign_kinds(spark: SparkSession, sf: str) -> DataFrame:
+    """SNK6: tinyint, bigint from a negative fraction, int from text, float, text and date as the target stores them."""
+    li = table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", (F.col("l_linenumber") * 30).alias("small"), (-F.col("l_extendedprice")).alias("whole"),
+        F.col("l_extendedprice").cast("decimal(18,2)").cast("string").alias("from_text"), F.col("l_discount").alias("share"), F.col("l_returnflag").alias("flag"),
+        F.col("l_shipdate").alias("shipped"))
+    kinds = [("l_orderkey", "bigint"), ("l_linenumber", "int"), ("small", "tinyint"), ("whole", "bigint"), ("from_text", "int"), ("share", "float"), ("flag", "nvarchar"), ("shipped", "date")]
+    return conform(li, TableContract("kinds", tuple(ColumnSpec(n, k, None, True) for n, k in kinds), ()))
 
 
 # ---------------------------------------------------------------- data-quality checks

@@ -9,7 +9,7 @@ from surveyprep.operators.codebook import Codebook, field_map
 from surveyprep.operators.contract import ColumnSpec, TableContract
 from surveyprep.operators.keys import dense_key, load_order_key
 from surveyprep.operators.provenance import rule_coverage
-from surveyprep.operators.quality import unlisted_codes, width_offenders
+from surveyprep.operators.quality import orphans, unlisted_codes, width_offenders
 from surveyprep.operators.zones import zone_lookup
 from surveyprep.plans.operator_queries import ORACLE, QUERIES, TRIAGE_BASE_SQL, TRIAGE_COLUMNS, register, triage_base, triage_rules, triage_steps
 from surveyprep.plans.tables import ISLAND_ZONE_SQL, island_points, island_zones, table
@@ -156,3 +156,14 @@ def q_load_refused(spark: SparkSession, sf: str) -> DataFrame:
     rows = read_refused(spark, _loaded(spark, sf))
     return rows.select(F.get_json_object("row", "$.o_orderkey").cast("bigint").alias("o_orderkey"), F.array_contains("why", "o_orderpriority: does not fit").alias("too_wide"),
                        F.array_contains("why", "units: does not fit").alias("too_large"))
+
+
+@register("dq_orphans", """
+SELECT l.l_orderkey, l.l_partkey, l.l_linenumber FROM lineitem l
+WHERE l.l_orderkey IS NOT NULL AND l.l_partkey IS NOT NULL
+  AND NOT EXISTS (SELECT 1 FROM lineitem p WHERE p.l_returnflag <> 'R' AND p.l_orderkey = l.l_orderkey AND p.l_partkey = l.l_partkey)""")
+def q_dq_orphans(spark: SparkSession, sf: str) -> DataFrame:
+    """SNK5 / JON6: lines whose (order, part) no line outside the returned ones has; filter first, exact anti-join for what it lets pass."""
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_returnflag")
+    kept = lines.where("l_returnflag <> 'R'").select("l_orderkey", "l_partkey")
+    return orphans(lines.drop("l_returnflag"), ["l_orderkey", "l_partkey"], kept, ["l_orderkey", "l_partkey"])

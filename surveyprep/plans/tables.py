@@ -13,8 +13,6 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from surveyprep.functions.geo import CA_ZONE6_FT, LambertConic
-
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
@@ -46,17 +44,21 @@ def _d(v: float) -> str:
     return f"CAST({v!r} AS DOUBLE)"
 
 
-def project_sql(lng: str, lat: str, crs: LambertConic = CA_ZONE6_FT) -> tuple[str, str]:
-    """The same projection formula as SQL text (oracle side)."""
-    e, n, big_f, rho0 = crs.constants()
-    phi = f"radians({lat})"
-    lam = f"radians({lng})"
-    esin = f"({_d(e)} * sin({phi}))"
-    t = f"(tan({_d(math.pi / 4)} - {phi} / 2) / pow((1.0 - {esin}) / (1.0 + {esin}), {_d(e / 2)}))"
-    rho = f"({_d(crs.a * big_f)} * pow({t}, {_d(n)}))"
-    theta = f"({_d(n)} * ({lam} - {_d(math.radians(crs.lon0))}))"
-    x = f"(({_d(crs.false_e)} + {rho} * sin({theta})) / {_d(crs.unit)})"
-    y = f"(({_d(crs.false_n)} + {_d(rho0)} - {rho} * cos({theta})) / {_d(crs.unit)})"
+# Fixed values of EPSG:2230 for the oracle, worked out from the published parameters by way of the isometric latitude: the ellipsoid's
+# eccentricity, the cone constant, the scaled radius a * F and the radius of the false origin in metres, the central
+# meridian in radians, false easting and northing in metres, and the US survey foot in metres.
+_ECCENTRICITY, _CONE, _RADIUS, _ORIGIN = 0.08181919104281579, 0.5495175757628218, 13602026.713297728, 9836091.789648417
+_MERIDIAN, _EASTING, _NORTHING, _FOOT = -2.028945255443408, 2000000.0, 500000.0, 0.3048006096012192
+
+
+def project_sql(lng: str, lat: str) -> tuple[str, str]:
+    """The projection as SQL text, with typed-in constants (oracle side)."""
+    sine = f"({_d(_ECCENTRICITY)} * sin(radians({lat})))"
+    t = f"(tan({_d(math.pi / 4)} - radians({lat}) / 2) / pow((1.0 - {sine}) / (1.0 + {sine}), {_d(_ECCENTRICITY / 2)}))"
+    rho = f"({_d(_RADIUS)} * pow({t}, {_d(_CONE)}))"
+    theta = f"({_d(_CONE)} * (radians({lng}) - {_d(_MERIDIAN)}))"
+    x = f"(({_d(_EASTING)} + {rho} * sin({theta})) / {_d(_FOOT)})"
+    y = f"(({_d(_NORTHING)} + {_d(_ORIGIN)} - {rho} * cos({theta})) / {_d(_FOOT)})"
     return x, y
 
 

@@ -19,8 +19,12 @@ from surveyprep.operators.contract import TableContract, store_assign
 from surveyprep.session import shared_dir
 
 
+#: What an unquoted empty cell is read as before it becomes null, so that a quoted empty one stays an empty text.
+NO_CELL = "\x01null\x01"
+
+
 def write_delimited(df: DataFrame, path: str, sep: str = "|", mode: str = "overwrite") -> str:
-    """SNK1: header + ``sep``-delimited text; nulls as empty fields."""
+    """SNK1: header + ``sep``-delimited text; nulls as empty fields, empty texts as quoted ones."""
     (df.write.mode(mode).option("sep", sep).option("header", True)
        .option("nullValue", "").option("emptyValue", '""').option("escape", '"')
        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
@@ -29,9 +33,9 @@ def write_delimited(df: DataFrame, path: str, sep: str = "|", mode: str = "overw
 
 
 def read_staged(spark: SparkSession, path: str, schema: T.StructType | str, sep: str = "|") -> DataFrame:
-    """SNK2: typed read of our own staged file (known column order), FAILFAST."""
+    """SNK2: typed read of our own staged file (known column order), FAILFAST; a quoted empty cell is an empty text."""
     return (spark.read.schema(schema).option("sep", sep).option("header", True)
-            .option("mode", "FAILFAST").option("nullValue", "").option("escape", '"').option("multiLine", True)
+            .option("mode", "FAILFAST").option("nullValue", NO_CELL).option("emptyValue", "").option("escape", '"').option("multiLine", True)
             .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
             .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS").csv(path))
 

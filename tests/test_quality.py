@@ -9,7 +9,7 @@ from surveyprep.functions import predicates as P
 from surveyprep.operators.codebook import Codebook, field_map
 from surveyprep.operators.contract import ColumnSpec, TableContract
 from surveyprep.operators.provenance import dead_rules, impossible_values, rule_coverage
-from surveyprep.operators.quality import unlisted_codes, width_offenders
+from surveyprep.operators.quality import orphans, unlisted_codes, width_offenders
 from surveyprep.operators.rules import apply_rules, rule, when
 from surveyprep.plans.datasets import dataset_categories
 from surveyprep.operators.codebook import load_codebook
@@ -81,3 +81,16 @@ def test_what_the_rules_text_shows(spark):
     assert not [v for _, c, v in impossible_values(trip_rules(), labels("trips")) if c in ("taxitype", "airtype")]
     assert "Not Applicable" in {v for _, c, v in impossible_values(person_rules(), labels("persons")) if c == "schooltype"}
     assert dataset_categories("trips")
+
+
+def test_orphans_against_sets(spark):
+    rng = random.Random(11)
+    parents = [(i, rng.choice("ab")) for i in range(3000)] + [(None, "a"), (5, None)]
+    children = [(rng.randrange(6000), rng.choice("abc"), i) for i in range(4000)] + [(None, "a", -1), (3, None, -2)] + [(9999, "z", -3)] * 500
+    c, p = spark.createDataFrame(children, "k int, t string, n int"), spark.createDataFrame(parents, "k int, t string")
+    known = set(parents)
+    want = sorted(r for r in children if r[0] is not None and r[1] is not None and r[:2] not in known)
+    for bits in (16, 1):  # one bit a key lets many pass; the exact join sorts these out
+        assert sorted(tuple(r) for r in orphans(c, ["k", "t"], p, ["k", "t"], bits).collect()) == want
+    assert orphans(c, ["k", "t"], p.limit(0), ["k", "t"]).count() == len(children) - 2
+    assert orphans(c.limit(0), ["k", "t"], p, ["k", "t"]).count() == 0
