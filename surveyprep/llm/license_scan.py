@@ -40,7 +40,7 @@ TEMPLATES = [
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
 ]
 #: Full texts and standard headers of the usual licences.
-TEMPLATES += [(name, text) for name, text in loads((resources("surveyprep") / "data" / "licences.json").read_text("utf-8"))["templates"]]
+TEMPLATES += [(name, text) for name, text in loads((resources("surveyprep.llm") / "licences.json").read_text("utf-8"))["templates"]]
 #: Lines of a window; lines without a word don't count.
 WINDOWS = (2, 3, 4, 6, 8, 12, 16, 24, 32)
 #: Words in at least one of so many lines have their frequencies on the driver: at most RARE times the words of an average line.
