@@ -32,10 +32,14 @@ def write_delimited(df: DataFrame, path: str, sep: str = "|", mode: str = "overw
     return path
 
 
-def read_staged(spark: SparkSession, path: str, schema: T.StructType | str, sep: str = "|") -> DataFrame:
-    """SNK2: typed read of our own staged file (known column order), FAILFAST; a quoted empty cell is an empty text."""
+def read_staged(spark: SparkSession, path: str, schema: T.StructType | str, sep: str = "|", keep_empty: bool = False) -> DataFrame:
+    """SNK2: typed read of our own staged file (known column order), FAILFAST.
+
+    Blank cells load as null, as a bulk load has it; with ``keep_empty`` a
+    quoted one is an empty text, so that text comes back exactly.
+    """
     return (spark.read.schema(schema).option("sep", sep).option("header", True)
-            .option("mode", "FAILFAST").option("nullValue", NO_CELL).option("emptyValue", "").option("escape", '"').option("multiLine", True)
+            .option("mode", "FAILFAST").option("nullValue", NO_CELL if keep_empty else "").option("emptyValue", "").option("escape", '"').option("multiLine", True)
             .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
             .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS").csv(path))
 
@@ -59,7 +63,7 @@ def stage_insert(df: DataFrame, contract: TableContract | None, target: str,
     spark = df.sparkSession
     stage = shared_dir(spark, "stage")
     write_delimited(df, stage)
-    staged = read_staged(spark, stage, df.schema)
+    staged = read_staged(spark, stage, df.schema, keep_empty=True)
     view = view or f"stage_{uuid.uuid4().hex}"
     staged.createOrReplaceTempView(view)
     try:
