@@ -27,6 +27,8 @@ class Scratch:
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.base = spark, shared_dir(spark, f"llm-{name}")
+        # a job's shuffle files go when it ends: what later steps need is in its table
+        spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
 
     def path(self, name: str) -> str:
         return f"{self.base}/{name}"
