@@ -32,6 +32,8 @@ from surveyprep.session import ensure_checkpoint_dir
 EDGES_PER_CELL = 8
 #: A cell with more edges than this is cut into parts, up to 4**MAX_DEPTH.
 PART_EDGES = 24
+#: With few cells, those with edges are cut into 4 or 16 parts, about this many in all: points of parts without edges need no test.
+FEW_PARTS = 4096
 MAX_DEPTH = 5
 #: Most cells along one side of the extent.
 MAX_SIDE = 4096
@@ -47,6 +49,7 @@ class Grid:
     y0: float
     side: float
     eps: float
+    least_depth: int = 0
 
     @property
     def margin(self) -> float:
@@ -76,7 +79,7 @@ def zone_edges(zones: DataFrame, id_col: str, wkt_col: str) -> DataFrame:
 
 
 def lay_grid(edges: DataFrame, cell: float | None, eps: float) -> Grid:
-    """Origin and cell side, from one aggregate over the edges."""
+    """Origin and cell side, from one aggregate over the edges, and the least depth of a cell with edges."""
     r = edges.selectExpr("count(*) as n", "min(least(edge.ax, edge.bx)) as x0", "max(greatest(edge.ax, edge.bx)) as x1",
                          "min(least(edge.ay, edge.by)) as y0", "max(greatest(edge.ay, edge.by)) as y1").first()
     if not r["n"]:
@@ -84,7 +87,8 @@ def lay_grid(edges: DataFrame, cell: float | None, eps: float) -> Grid:
     w, h = r["x1"] - r["x0"], r["y1"] - r["y0"]
     cells = max(256, r["n"] / EDGES_PER_CELL)
     side = cell or max(math.sqrt(w * h / cells), max(w, h) / MAX_SIDE) or 1.0
-    return Grid(r["x0"] - side / 2, r["y0"] - side / 2, side, eps)
+    least = max(0, min(2, int(math.log(FEW_PARTS / max(1.0, w * h / side / side), 4))))
+    return Grid(r["x0"] - side / 2, r["y0"] - side / 2, side, eps, least)
 
 
 def _left(ax: str, ay: str, bx: str, by: str, x: str, y: str) -> str:
@@ -174,7 +178,7 @@ def build_index(zones: DataFrame, id_col: str, wkt_col: str, cell: float | None
     # a zone above the lowest one that covers the cell is never the answer
     cells = cells.withColumn("cands", F.expr("filter(cands, c -> base is null or c.zone_id < base)"))
     n = "aggregate(cands, 0, (s, c) -> s + size(c.edges))"
-    cells = cells.withColumn("depth", F.expr(f"cast(least({MAX_DEPTH}, greatest(0, coalesce(ceil(log2(nullif({n}, 0) / {_d(part_edges)}) / 2), 0))) as int)"))
+    cells = cells.withColumn("depth", F.expr(f"cast(least({MAX_DEPTH}, if({n} = 0, 0, greatest({g.least_depth}, ceil(log2({n} / {_d(part_edges)}) / 2)))) as int)"))
     cells = cells.withColumn("along", F.expr("shiftleft(1, depth)"))
     index = cells.select("cx", "cy", "depth", F.expr(f"if(depth = 0, array(struct(base, cands)), {_cut(g)})").alias("parts")).checkpoint()
     held = "aggregate(parts, 96L, (s, p) -> s + 48 + aggregate(p.cands, 0L, (t, c) -> t + 48 + 72 * size(c.edges)))"

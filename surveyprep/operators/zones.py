@@ -13,7 +13,7 @@ pairs are joined to it by their cell (AQE splits a hot cell) and joined back.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from surveyprep.functions.geo import finite
@@ -24,8 +24,17 @@ from surveyprep.session import widen
 BROADCAST_BYTES = 128 << 20
 
 
+def whole(columns: list) -> Column:
+    """The columns as one struct, which joins and projections copy at once where they copy columns one by one.
+
+    It counts as not deterministic, so that filters stop above it: pushed
+    further, each field that they read would become a copy of the struct.
+    """
+    return F.when(F.rand(0) >= 0, F.struct(*[F.col(f"`{c}`") for c in columns]))
+
+
 def _with_zones(df: DataFrame, points: list, index: DataFrame, g: Grid, zone_type: str, small: bool) -> DataFrame:
-    """``df`` with the zone of each (x, y, out): one join per point on its cell, then one projection for all cells' parts and one for all zones."""
+    """``df`` with the zone of each (x, y, out): one join per point on its cell, then one projection for all zones."""
     cells, keys, parts, found, temp = {}, {}, {}, {}, []
     for i, (x, y, out) in enumerate(points):
         ok, px, py = finite(x) & finite(y), f"__x{i}", f"__y{i}"
@@ -34,12 +43,18 @@ def _with_zones(df: DataFrame, points: list, index: DataFrame, g: Grid, zone_typ
         keys |= {f"__c{axis}{i}": F.expr(g.cell(f"__{axis}{i}", axis)) for axis in "xy"}
         parts[f"__part{i}"] = point_part(g, f"__cx{i}", f"__cy{i}", f"__depth{i}", f"__parts{i}", px, py)
         found[out] = lowest_zone(g, f"__part{i}", px, py).cast(zone_type)
-        temp += [f"__{n}{i}" for n in ("x", "y", "cx", "cy", "depth", "parts", "part")]
-    out = df.withColumns(cells).withColumns(keys)
+        temp += [f"__{n}{i}" for n in ("x", "y", "part")]
+    own = list(dict.fromkeys(c for x, y, _ in points for c in (x, y)))
+    rest = [c for c in df.columns if c not in own]
+    out = df.select(whole(rest).alias("__row"), *own) if rest else df
+    out = out.withColumns(cells).withColumns(keys)
     for i in range(len(points)):
         side = index.select(*[F.col(n).alias(f"__{n}{i}") for n in ("cx", "cy", "depth", "parts")])
+        # of a cell's parts, only the point's goes on
         out = out.join(F.broadcast(side) if small else side, [f"__cx{i}", f"__cy{i}"], "left")
-    return out.withColumns(parts).withColumns(found).drop(*temp)
+        out = out.withColumn(f"__part{i}", parts[f"__part{i}"]).drop(f"__cx{i}", f"__cy{i}", f"__depth{i}", f"__parts{i}")
+    out = out.select(*[F.col(c) if c in own else F.col(f"__row.`{c}`").alias(c) for c in df.columns], *temp)
+    return out.withColumns(found).drop(*temp)
 
 
 def attach_zones(df: DataFrame, points: list, zones: DataFrame, id_col: str = "zone_id", wkt_col: str = "wkt",

@@ -25,7 +25,7 @@ from surveyprep.operators.paths import path_lines
 from surveyprep.operators.reshape import drop_all_null, fill_missing, merge_alternates, wide_to_long
 from surveyprep.operators.rules import apply_rules
 from surveyprep.operators.weights import person_trip_weight, trip_weight
-from surveyprep.operators.zones import attach_zones
+from surveyprep.operators.zones import attach_zones, whole
 from surveyprep.plans import dataset_sql as S
 from surveyprep.plans import survey_rules as R
 from surveyprep.plans.raw_inputs import raw_sources, survey_zones
@@ -90,7 +90,9 @@ def add_points(df: DataFrame, points: list, zones: DataFrame | None, cell: float
     broadcast hash join per column when the zones are small enough; see
     ``attach_zones``), so the wide frame is never shuffled for it.
     """
-    out = df
+    own = list(dict.fromkeys(c for lng, lat, _, _ in points for c in (lng, lat)))
+    rest = [c for c in df.columns if c not in own]
+    out = df.select(whole(rest).alias("__rest"), *own) if rest else df
     xy = []
     for lng, lat, shape, zone in points:
         x, y = project_xy(lng, lat)
@@ -102,9 +104,11 @@ def add_points(df: DataFrame, points: list, zones: DataFrame | None, cell: float
     if zones is None or not xy:
         # no zone layer given: the zone columns exist but stay null
         out = out.withColumns({z: F.lit(None).cast("short") for _, _, z in xy})
-        return out.drop(*[c for x, y, _ in xy for c in (x, y)])
-    out = attach_zones(out, xy, zones, "mgra_13", "wkt", cell=cell)
-    return out.drop(*[c for x, y, _ in xy for c in (x, y)])
+    else:
+        out = attach_zones(out, xy, zones, "mgra_13", "wkt", cell=cell)
+    made = [c for c in out.columns if c not in own and c not in ("__rest", *[c for x, y, _ in xy for c in (x, y)])]
+    back = [F.col(c) if c in own else F.col(f"__rest.`{c}`").alias(c) for c in df.columns if c not in made]
+    return out.select(*back, *made)
 
 
 def build_dataset(name: str, sources: dict, zones: DataFrame | None = None, compat: bool = False,

@@ -3,6 +3,8 @@
 import math
 import random
 
+from pyspark.sql import functions as F
+
 from surveyprep.operators.zone_index import build_index
 from surveyprep.operators.zones import attach_zones
 
@@ -74,3 +76,23 @@ def test_no_zone_and_odd_zones(spark):
     assert [r["z"] for r in attach_zones(p, [("x", "y", "z")], z).orderBy("id").collect()] == [None, None]
     flat = spark.createDataFrame([(1, "POLYGON ((0 0.5, 1 0.5, 0 0.5))")], "zone_id int, wkt string")
     assert [r["z"] for r in attach_zones(p, [("x", "y", "z")], flat).orderBy("id").collect()] == [1, None]
+
+
+def test_joins_pass_a_wide_row_on_as_one_column(spark):
+    z = spark.createDataFrame([(1, wkt([[square(0.0, 0.0, 1.0)]])), (2, wkt([[square(1.0, 0.0, 1.0)]]))], "zone_id int, wkt string")
+    p = spark.createDataFrame([(0.5, 0.5, 1.5, 0.5), (1.0, 1.0, None, 0.5), (3.0, 0.0, 0.25, 0.75)], "x double, y double, u double, v double")
+    wide = p.select("*", *[F.concat_ws("-", F.lit(i), "x").alias(f"c{i}") for i in range(60)])
+    out = attach_zones(wide, [("x", "y", "a"), ("u", "v", "b")], z)
+
+    def nodes(n):
+        yield n
+        for i in range(n.children().size()):
+            yield from nodes(n.children().apply(i))
+
+    joins = [n.output().size() for n in nodes(out._jdf.queryExecution().optimizedPlan()) if n.nodeName() == "Join"]
+    assert len(joins) == 2 and max(joins) < 30
+    assert out.columns == [*wide.columns, "a", "b"]
+    want = {(0.5, 1, 2, "59-0.5"), (1.0, 1, None, "59-1.0"), (3.0, None, 1, "59-3.0")}
+    assert {(r["x"], r["a"], r["b"], r["c59"]) for r in out.collect()} == want
+    # a filter above stops there, and still finds its rows
+    assert out.where("c7 = '7-1.0' and a = 1").count() == 1
