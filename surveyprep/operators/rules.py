@@ -4,9 +4,10 @@ A rule is "where <condition>, set <targets> to <value>". Rules depend on
 the results of earlier rules, so order matters. Emitting one
 ``withColumn`` per rule grows the plan linearly with hundreds of
 projections; folding everything into one nested CASE duplicates
-expressions exponentially. Instead consecutive rules are grouped into
-*stages*: a rule joins the open stage unless its condition (or value)
-reads a column the stage already writes. Inside a stage every target is
+expressions exponentially. Instead rules are grouped into
+*stages* (``early_stages``; ``plan_stages`` groups consecutive rules only): a
+rule joins the first stage after those that write a column its condition (or
+value) reads, if the order of writes stays the same. Inside a stage every target is
 one ``CASE WHEN`` whose branches are the stage's rules for that target,
 latest rule first, so the later rule wins exactly as in sequential
 assignment. Each stage is one ``withColumns`` projection.
@@ -78,6 +79,28 @@ def plan_stages(rules: Iterable[Rule]) -> list[Stage]:
     return stages
 
 
+def early_stages(rules: Iterable[Rule]) -> list[Stage]:
+    """The rules in few stages, not all of consecutive rules.
+
+    A rule goes to the first stage after all earlier rules that write what it
+    reads, and not before an earlier rule that reads or writes what it writes:
+    a stage's conditions see the row as it was before the stage, and its
+    branches for a target keep the rules' order.
+    """
+    stages: list[Stage] = []
+    written, read = {}, {}  # column -> last stage that writes it, reads it
+    for r in rules:
+        at = max([0, *[written[c] + 1 for c in r.reads if c in written], *[m[t] for t in r.targets for m in (written, read) if t in m]])
+        stages += [Stage() for _ in range(at + 1 - len(stages))]
+        for t, v in r.set:
+            stages[at].branches.setdefault(t, []).append((r.when, v))
+            written[t] = max(at, written.get(t, 0))
+        for c in r.reads:
+            read[c] = max(at, read.get(c, 0))
+        stages[at].reads |= set(r.reads)
+    return [st for st in stages if st.branches]
+
+
 def _value(v) -> Column:
     return v if isinstance(v, Column) else F.lit(v)
 
@@ -111,7 +134,7 @@ def apply_rules(df: DataFrame, rules: Iterable[Rule]) -> DataFrame:
     subexpression elimination evaluates it once per row, and no extra
     projection of the wide row is materialised for it.
     """
-    for st in plan_stages(rules):
+    for st in early_stages(rules):
         df = df.withColumns(stage_exprs(st, df.columns))
     return df
 

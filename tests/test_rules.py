@@ -3,7 +3,7 @@ import random
 from pyspark.sql import functions as F
 
 from surveyprep.functions import predicates as P
-from surveyprep.operators.rules import apply_rules, count_stages, when
+from surveyprep.operators.rules import apply_rules, count_stages, early_stages, when
 from surveyprep.plans import survey_rules as R
 
 
@@ -45,3 +45,14 @@ def test_all_survey_rule_tables_stage(spark):
         assert 1 <= count_stages(rules) <= len(rules)
     # compat switches change only the quirk rules
     assert len(R.trip_rules(True)) == len(R.trip_rules(False))
+
+
+def test_rules_move_to_the_first_stage_that_their_order_allows(spark):
+    rnd = random.Random(11)
+    names, values = list("pqrstu"), ["a", "b", None]
+    df = spark.createDataFrame([tuple(rnd.choice(values) for _ in names) for _ in range(60)], ", ".join(f"{c} string" for c in names))
+    for _ in range(4):
+        rules = [when(lambda c, n=rnd.choice(names), v=rnd.choice("abc"): P.eq(c(n), v), rnd.sample(names, rnd.choice([1, 2])), rnd.choice("abc")) for _ in range(9)]
+        assert len(early_stages(rules)) <= count_stages(rules)
+        assert sorted(map(str, (tuple(r) for r in apply_rules(df, rules).collect()))) == sorted(map(str, (tuple(r) for r in _sequential(df, rules).collect())))
+    assert len(early_stages(R.trip_rules())) < count_stages(R.trip_rules())
