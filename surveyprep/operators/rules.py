@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from surveyprep.functions.predicates import recorded
+from surveyprep.session import whole
 
 
 @dataclass(frozen=True)
@@ -127,16 +128,33 @@ def stage_exprs(stage: Stage, columns: Iterable[str], cond_cols: dict | None = N
     return out
 
 
-def apply_rules(df: DataFrame, rules: Iterable[Rule]) -> DataFrame:
+def apply_rules(df: DataFrame, rules: Iterable[Rule], pack: bool = False) -> DataFrame:
     """Apply the ordered rule list, one projection per stage.
 
     A condition shared by many targets appears in each target's CASE;
     subexpression elimination evaluates it once per row, and no extra
-    projection of the wide row is materialised for it.
+    projection of the wide row is materialised for it. With ``pack``, for wide
+    rows and rules that list all they read, a column goes through the stages
+    before the first that uses it in a struct, which is copied at once.
     """
-    for st in early_stages(rules):
+    stages, names = early_stages(rules), df.columns
+    if not pack or len(stages) < 2:
+        for st in stages:
+            df = df.withColumns(stage_exprs(st, df.columns))
+        return df
+    uses = [{u.lower() for u in st.reads | st.writes} for st in stages]
+    later = {}  # number of the first stage that uses them (their count: none) -> columns
+    for c in names:
+        later.setdefault(next((i for i, u in enumerate(uses) if c.lower() in u), len(stages)), []).append(c)
+    flat = later.pop(0, [])
+    df = df.select(*[whole(v).alias(f"__from{i}") for i, v in later.items()], *[F.col(f"`{c}`") for c in flat])
+    for i, st in enumerate(stages):
+        if i in later:
+            df = df.select(*[F.col(f"`{c}`") for c in df.columns if c != f"__from{i}"], *[F.col(f"__from{i}.`{c}`").alias(c) for c in later.pop(i)])
         df = df.withColumns(stage_exprs(st, df.columns))
-    return df
+    idle = {c: F.col(f"__from{i}.`{c}`").alias(c) for i, v in later.items() for c in v}
+    made = [c for c in df.columns if c not in names and not c.startswith("__from")]
+    return df.select(*[idle.get(c, F.col(f"`{c}`")) for c in names], *[F.col(f"`{c}`") for c in made])
 
 
 def count_stages(rules: Iterable[Rule]) -> int:

@@ -13,26 +13,17 @@ pairs are joined to it by their cell (AQE splits a hot cell) and joined back.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from surveyprep.functions.geo import finite
 from surveyprep.operators.zone_index import Grid, build_index, lowest_zone, point_part
-from surveyprep.session import widen
+from surveyprep.session import whole, widen
 
 #: Largest index, in bytes, that is sent to every executor.
 BROADCAST_BYTES = 128 << 20
 
 
-def whole(columns: list) -> Column:
-    """The columns as one struct, which joins and projections copy at once where they copy columns one by one.
-
-    It counts as not deterministic, so that filters stop above it: pushed
-    further, each field that they read would become a copy of the struct.
-    """
-    return F.when(F.rand(0) >= 0, F.struct(*[F.col(f"`{c}`") for c in columns]))
-
-
 def _with_zones(df: DataFrame, points: list, index: DataFrame, g: Grid, zone_type: str, small: bool) -> DataFrame:
     """``df`` with the zone of each (x, y, out): one join per point on its cell, then one projection for all zones."""
     cells, keys, parts, found, temp = {}, {}, {}, {}, []

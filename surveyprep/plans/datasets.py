@@ -25,11 +25,11 @@ from surveyprep.operators.paths import path_lines
 from surveyprep.operators.reshape import drop_all_null, fill_missing, merge_alternates, wide_to_long
 from surveyprep.operators.rules import apply_rules
 from surveyprep.operators.weights import person_trip_weight, trip_weight
-from surveyprep.operators.zones import attach_zones, whole
+from surveyprep.operators.zones import attach_zones
 from surveyprep.plans import dataset_sql as S
 from surveyprep.plans import survey_rules as R
 from surveyprep.plans.raw_inputs import raw_sources, survey_zones
-from surveyprep.session import widen
+from surveyprep.session import whole, widen
 from surveyprep.sources.readers import add_defaults, union_sources
 from surveyprep.sources.survey_files import read_survey
 
@@ -150,7 +150,7 @@ def build_dataset(name: str, sources: dict, zones: DataFrame | None = None, comp
                  if t in df.columns and df.schema[t].dataType.simpleString() != "string"}
         if casts:
             df = df.withColumns(casts)
-        df = apply_rules(df, rules)
+        df = apply_rules(df, rules, pack=True)
     if name == "trips":
         df = df.withColumns({c: F.regexp_replace(c, r"\|", "") for c in ("origin_address", "destination_address")})
     if name == "day":
